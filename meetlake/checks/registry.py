@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from meetlake.checks import reads, tallies
+from meetlake.checks import keyed, reads, tallies, texts
 
-_MODULES = (reads, tallies)
+_MODULES = (reads, tallies, keyed, texts)
 
 QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 SQL = {name: q for m in _MODULES for name, q in m.SQL.items()}
