@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from meetlake.functions import numbers, text, urls
 from meetlake.functions.places import upper_code
-from meetlake.functions.text import is_sports_event
 from meetlake.site import Site
 from meetlake.sources import schemas
 from meetlake.sources.captures import of_kind, refusal
@@ -48,6 +47,22 @@ def text_of(value: Column) -> Column:
     return F.when(is_json(value, "STRING"), F.try_variant_get(value, "$", "string"))
 
 
+def sound_text(value: Column) -> Column:
+    """Text of a variant that is known to be a JSON string, null or missing."""
+    return F.try_variant_get(value, "$", "string")
+
+
+def unnested(rows: DataFrame, array: Column, *columns, item: str, position: str = "_pos"):
+    """`columns` with one row per array element; rows without elements vanish.
+
+    The outer form plus a filter on its position, and not the inner form: for that one
+    the optimizer puts size tests on the array below the parse, which then runs again
+    for each of them.
+    """
+    exploded = rows.select(*columns, F.posexplode_outer(array).alias(position, item))
+    return exploded.filter(F.col(position).isNotNull())
+
+
 def _decoded(captures: DataFrame, schema: str) -> DataFrame:
     payload = F.from_json("body", schema, {"columnNameOfCorruptRecord": "_corrupt"})
     return captures.withColumn("payload", payload)
@@ -131,21 +146,18 @@ def registrations(decoded: DataFrame) -> DataFrame:
     Groups without registrations vanish. No registration is filtered by its `approved`,
     `status` or `trashed` (FLT-8).
     """
-    groups = decoded.filter(F.col("fault").isNull()).select(
-        "url",
-        "fetched_at",
-        "event_id",
-        "event_name",
-        F.posexplode("payload.participants").alias("group_pos", "g"),
-    )
-    return groups.select(
-        "url",
-        "fetched_at",
-        "event_id",
-        "event_name",
+    about = ("url", "fetched_at", "event_id", "event_name")
+    sound = F.when(F.col("fault").isNull(), F.col("payload.participants"))
+    groups = unnested(decoded, sound, *about, item="g", position="group_pos")
+    name = F.col("g.name").alias("group_name")
+    return unnested(
+        groups,
+        F.col("g.registrations"),
+        *about,
         "group_pos",
-        F.col("g.name").alias("group_name"),
-        F.posexplode("g.registrations").alias("reg_pos", "r"),
+        name,
+        item="r",
+        position="reg_pos",
     )
 
 
@@ -153,14 +165,14 @@ def event_athletes(unnested: DataFrame, site: Site) -> DataFrame:
     """Flat athlete and registration record of each unnested row (PRJ-1)."""
 
     def words(name):
-        return text.or_empty(text_of(F.col(f"r.{name}")))
+        return text.or_empty(sound_text(F.col(f"r.{name}")))
 
     first, middle, last = words("firstname"), words("middle_name"), words("lastname")
     weights = F.transform(
         "r.categories",
-        lambda c: F.struct(text_of(c["weight_measured"]).alias("weight_measured")),
+        lambda c: F.struct(sound_text(c["weight_measured"]).alias("weight_measured")),
     )
-    parts = text.category_parts(F.coalesce(text_of(F.col("group_name")), F.lit("")))
+    parts = text.category_parts(text.or_empty(sound_text(F.col("group_name"))))
     user_id = text.or_zero(F.col("r.user_id"))
     flat = unnested.select(
         "url",
@@ -245,18 +257,15 @@ def decode_profile_events(captures: DataFrame, site: Site) -> DataFrame:
 
 def profile_matches(decoded: DataFrame) -> DataFrame:
     """Unnest events, registrations and matches of sound payloads (JSN-4)."""
-    events = decoded.filter(F.col("fault").isNull()).select(
-        "external_id", "url", "fetched_at", F.explode("payload.data").alias("e")
-    )
-    regs = events.select("external_id", "url", "fetched_at", F.explode("e.registrations").alias("r"))
-    return regs.select(
-        "external_id", "url", "fetched_at", F.explode("r.matches").alias("m")
-    ).select(
-        "external_id",
-        "url",
-        "fetched_at",
+    about = ("external_id", "url", "fetched_at")
+    sound = F.when(F.col("fault").isNull(), F.col("payload.data"))
+    events = unnested(decoded, sound, *about, item="e")
+    regs = unnested(events, F.col("e.registrations"), *about, item="r")
+    matches = unnested(regs, F.col("r.matches"), *about, item="m")
+    return matches.select(
+        *about,
         F.coalesce("m.is_winner", F.lit(False)).alias("is_winner"),
-        text.or_empty(text_of(F.col("m.outcome"))).alias("outcome"),
+        text.or_empty(sound_text(F.col("m.outcome"))).alias("outcome"),
     )
 
 
@@ -284,9 +293,8 @@ def array_after(page: Column, marker: str, element: str) -> Column:
     return F.from_json(F.when(found, tail), f"array<{element}>")
 
 
-def embedded_events(page: Column) -> Column:
-    """Events array of a listing page; null if any element has a field of a wrong type."""
-    events = array_after(page, "var events", EMBEDDED_EVENT)
+def sound_events(events: Column) -> Column:
+    """The array, or null if any element has a field of a wrong type."""
 
     def bad(event):
         faults = [is_type_fault(event[f], "STRING") for f in EMBEDDED_TEXTS]
@@ -301,7 +309,7 @@ def embedded_event_fields(event: Column) -> list[Column]:
     """Event columns of one array element (PRJ-2); `section` stays empty."""
 
     def words(name):
-        return text.strip(text.or_empty(text_of(event[name])))
+        return text.strip(text.or_empty(sound_text(event[name])))
 
     return [
         text.or_zero(F.try_variant_get(event["id"], "$", "bigint"))
@@ -355,16 +363,20 @@ def linked_event(page: Column) -> Column:
     """
     scripts = F.regexp_extract_all(page, F.lit(_LD_SCRIPT), F.lit(1))
 
-    def candidates(raw):
-        value = F.try_parse_json(text.strip(raw))
-        listed = F.when(is_json(value, "ARRAY"), F.try_variant_get(value, "$", "array<variant>"))
-        each = F.coalesce(listed, F.array(value))
-        sound = F.filter(each, lambda v: v.isNotNull())
-        sports = F.filter(sound, lambda v: is_sports_event(_text_at(v, "$['@type']")))
-        return F.when(~F.exists(sound, _linked_data_fault), sports)
-
-    found = F.flatten(F.filter(F.transform(scripts, candidates), lambda s: s.isNotNull()))
-    return F.get(found, F.lit(0))
+    # Each step is a pass of its own over the few scripts of the page, so that no step
+    # is evaluated again for every use of its result.
+    values = F.transform(scripts, lambda raw: F.try_parse_json(text.strip(raw)))
+    lists = F.transform(
+        F.filter(values, lambda v: v.isNotNull()),
+        lambda v: F.coalesce(
+            F.when(is_json(v, "ARRAY"), F.try_variant_get(v, "$", "array<variant>")), F.array(v)
+        ),
+    )
+    sound = F.filter(lists, lambda each: ~F.exists(each, _linked_data_fault))
+    events = F.filter(
+        F.flatten(sound), lambda v: text.is_sports_event(_text_at(v, "$['@type']"))
+    )
+    return F.get(events, F.lit(0))
 
 
 def linked_event_fields(event: Column) -> dict[str, Column]:
