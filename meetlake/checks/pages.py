@@ -11,6 +11,7 @@ from meetlake.functions.labels import COUNTERS
 from meetlake.operators.hosts import host_of_event
 from meetlake.operators.tally import profile_counters
 from meetlake.plans import academies, profiles
+from meetlake.session import staged
 from meetlake.sources import pages
 from meetlake.sources.captures import answered
 from meetlake.sources.markup import Pick, Record, field, found_of, records_in
@@ -106,7 +107,8 @@ def profiles_merged(spark, sf):
         {c: F.lit("2020-01-01").cast("timestamp") for c in ("scraped_at", "updated_at")}
     )
     now = F.lit("2026-01-01").cast("timestamp")
-    merged = profiles.merge_profiles(profiles.profile_updates(captures, SITE), stored, now)
+    matches = staged(profiles.match_pages(captures, SITE), "match-pages")
+    merged = profiles.merge_profiles(profiles.profile_updates(captures, matches), stored, now)
     changed = (F.col("scraped_at") == now).alias("changed")
     return merged.select("id", "external_id", "belt_rank", *COUNTERS, changed)
 

@@ -9,7 +9,8 @@ from meetlake.checks.stand_ins import SITE, stand_in, table, with_stand_ins
 from meetlake.checks.tallies import counters_sql
 from meetlake.functions import numbers, text, urls
 from meetlake.operators import runs, tally
-from meetlake.plans import event_athletes, event_details, listings
+from meetlake.plans import event_athletes, event_details, listings, profiles
+from meetlake.session import staged
 from meetlake.sources import payloads
 from meetlake.sources.captures import frontier, quarantine
 from meetlake.sources.pages import page_links
@@ -94,7 +95,10 @@ def registrations_from_events(spark, sf):
         F.lit(0).alias("seed"),
     )
     merged = event_athletes.merge_registrations(
-        _flat(spark, sf), _stored_athletes(spark, sf), stored, F.lit("2026-01-01").cast("timestamp")
+        staged(_flat(spark, sf), "flat"),
+        _stored_athletes(spark, sf),
+        stored,
+        F.lit("2026-01-01").cast("timestamp"),
     )
     top = stored.agg(F.max("id")).scalar()
     return merged.withColumn("stored_id", F.when(F.col("id") <= top, F.col("id"))).drop("id")
@@ -121,9 +125,8 @@ def profile_matches(spark, sf):
 
 def profile_tally(spark, sf):
     """AGG-2 over pages; none for athletes with a failed or missing page."""
-    return tally.profile_tally(
-        payloads.decode_profile_events(derived.profile_events(spark, sf), SITE)
-    )
+    matches = profiles.match_pages(derived.profile_events(spark, sf), SITE)
+    return tally.profile_tally(staged(matches, "match-pages"))
 
 
 def next_page_frontier(spark, sf):

@@ -86,30 +86,23 @@ def _payload_fights(payload: Column) -> Column:
     )
 
 
-def profile_tally(decoded: DataFrame) -> DataFrame:
-    """Tally per athlete over the decoded pages of its match list (SRC-2, AGG-2).
+def page_tallies(decoded: DataFrame) -> DataFrame:
+    """Ten counters per capture of a decoded match list, inside its row (SRC-2, AGG-2)."""
+    about = ("external_id", "url", "kind", "fetched_at", "status", "fault", "next_url")
+    fights = decoded.select(*about, _payload_fights(F.col("payload")).alias("fights"))
+    counts = counts_of(F.col("fights"))
+    return fights.select(*about, *[text.or_zero(c).alias(n) for n, c in counts.items()])
+
+
+def profile_tally(pages: DataFrame) -> DataFrame:
+    """Tally per athlete over the pages of its match list.
 
     The newest capture of each page counts. An athlete has no tally if one of its pages
     was refused or a page it links to was never captured: the counts would be partial.
     """
-    in_row = decoded.select(
-        "external_id",
-        "url",
-        "fetched_at",
-        "next_url",
-        F.col("fault").isNull().alias("sound"),
-        _payload_fights(F.col("payload")).alias("fights"),
-    ).select(
-        "external_id",
-        "url",
-        "fetched_at",
-        "next_url",
-        "sound",
-        *[F.coalesce(c, F.lit(0)).alias(name) for name, c in counts_of(F.col("fights")).items()],
-    )
-    page = F.struct("next_url", "sound", *COUNTERS)
+    page = F.struct("next_url", F.col("fault").isNull().alias("sound"), *COUNTERS)
     newest = (
-        in_row.groupBy("external_id", "url")
+        pages.groupBy("external_id", "url")
         .agg(F.max_by(page, "fetched_at").alias("page"))
         .select("external_id", "url", "page.*")
     )

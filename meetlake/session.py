@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
@@ -39,3 +39,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Set the checkpoint folder where the session names none (local tests)."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoint"))
+
+
+def staged(rows: DataFrame, purpose: str) -> DataFrame:
+    """Rows written to the shared folder and read back.
+
+    Used where several plans start from one costly frame: it is computed once, a lost
+    executor costs a file read only, and Spark plans with the true size.
+    """
+    spark = rows.sparkSession
+    path = shared_folder(spark, purpose)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

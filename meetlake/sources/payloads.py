@@ -52,15 +52,24 @@ def sound_text(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
 
-def unnested(rows: DataFrame, array: Column, *columns, item: str, position: str = "_pos"):
-    """`columns` with one row per array element; rows without elements vanish.
+def unnested(
+    rows: DataFrame,
+    array: Column,
+    *columns,
+    item: str,
+    position: str = "_pos",
+    or_if: Column | None = None,
+) -> DataFrame:
+    """`columns` with one row per array element; rows without elements vanish, but for
+    those with `or_if`.
 
     The outer form plus a filter on its position, and not the inner form: for that one
     the optimizer puts size tests on the array below the parse, which then runs again
     for each of them.
     """
     exploded = rows.select(*columns, F.posexplode_outer(array).alias(position, item))
-    return exploded.filter(F.col(position).isNotNull())
+    kept = F.col(position).isNotNull()
+    return exploded.filter(kept if or_if is None else kept | or_if)
 
 
 def _decoded(captures: DataFrame, schema: str) -> DataFrame:
@@ -140,15 +149,19 @@ def payload_counts(decoded: DataFrame) -> DataFrame:
     )
 
 
-def registrations(decoded: DataFrame) -> DataFrame:
+def registrations(decoded: DataFrame, keep_refused: bool = False) -> DataFrame:
     """Unnest groups and registrations of sound payloads, with positions (JSN-2).
 
     Groups without registrations vanish. No registration is filtered by its `approved`,
-    `status` or `trashed` (FLT-8).
+    `status` or `trashed` (FLT-8). `keep_refused` adds one bare row per refused capture,
+    so that one pass over the bodies serves the rows and the quarantine.
     """
-    about = ("url", "fetched_at", "event_id", "event_name")
+    about = ("url", "kind", "fetched_at", "status", "event_id", "event_name", "fault")
     sound = F.when(F.col("fault").isNull(), F.col("payload.participants"))
-    groups = unnested(decoded, sound, *about, item="g", position="group_pos")
+    refused = F.col("fault").isNotNull() if keep_refused else None
+    groups = unnested(
+        decoded, sound, *about, item="g", position="group_pos", or_if=refused
+    )
     name = F.col("g.name").alias("group_name")
     return unnested(
         groups,
@@ -158,6 +171,7 @@ def registrations(decoded: DataFrame) -> DataFrame:
         name,
         item="r",
         position="reg_pos",
+        or_if=refused,
     )
 
 
@@ -176,7 +190,10 @@ def event_athletes(unnested: DataFrame, site: Site) -> DataFrame:
     user_id = text.or_zero(F.col("r.user_id"))
     flat = unnested.select(
         "url",
+        "kind",
         "fetched_at",
+        "status",
+        "fault",
         "event_id",
         "event_name",
         "group_pos",

@@ -10,7 +10,7 @@ from golden import registration
 from pyspark.sql import functions as F
 
 from meetlake import Site
-from meetlake.operators.tally import profile_tally
+from meetlake.operators.tally import page_tallies, profile_tally
 from meetlake.plans import event_athletes, event_details, listings
 from meetlake.sources import payloads
 
@@ -132,7 +132,7 @@ def fights(*matches):
 
 def tallies(spark, *rows):
     decoded = payloads.decode_profile_events(captures(spark, *rows), SITE)
-    return {r.external_id: r.asDict() for r in profile_tally(decoded).collect()}
+    return {r.external_id: r.asDict() for r in profile_tally(page_tallies(decoded)).collect()}
 
 
 def page(athlete, n, data, next_url=None, at=T0, status=200):
@@ -178,7 +178,7 @@ def test_match_rows_give_the_same_tally(spark):
     decoded = payloads.decode_profile_events(captures(spark, page(1, 1, one)), SITE)
     flat = tally(payloads.profile_matches(decoded), ["external_id"])
     cols = sorted(flat.columns)
-    assert flat.select(cols).collect() == profile_tally(decoded).select(cols).collect()
+    assert flat.select(cols).collect() == profile_tally(page_tallies(decoded)).select(cols).collect()
 
 
 def listed(spark, body, url=f"{BASE}/en/events/upcoming", country="cl"):
