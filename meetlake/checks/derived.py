@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meetlake.checks.stand_ins import table
+from meetlake.sources.captures import spread
 
 _COLUMNS = (
     "url", "kind", "fetched_at", "status", "location", "content_type", "country",
@@ -27,6 +28,7 @@ def _captures(rows: DataFrame, kind: str, url: str, body, **more: str) -> DataFr
         "event_name": "CAST(NULL AS STRING)",
     } | more
     columns = {name: F.expr(text) for name, text in given.items()}
+    rows = spread(rows)
     columns |= {"kind": F.lit(kind), "url": F.expr(url), "body": body}
     return rows.select(*[columns[c].alias(c) for c in _COLUMNS])
 
@@ -82,6 +84,8 @@ def participants(spark, sf) -> DataFrame:
         F.struct(F.array(first, second).alias("participants"), limits.alias("categories")),
         {"ignoreNullFields": "false"},
     )
+    orders = spread(orders).withColumn("payload", payload)
+    payload = F.col("payload")
     wrong_age = F.replace(payload, F.lit('"age":'), F.lit('"age":"x","old_age":'))
     return _captures(
         orders,

@@ -12,7 +12,7 @@ from meetlake.operators import runs, tally
 from meetlake.plans import event_athletes, event_details, listings, profiles
 from meetlake.session import staged
 from meetlake.sources import payloads
-from meetlake.sources.captures import frontier, quarantine
+from meetlake.sources.captures import frontier
 from meetlake.sources.pages import page_links
 
 _FLAT = (
@@ -34,7 +34,7 @@ def unnest_registrations(spark, sf):
 def payload_refusals(spark, sf):
     """JSN-1, FN-14: captures refused whole, by answer status or by one wrong field."""
     decoded = payloads.decode_participants(derived.participants(spark, sf))
-    return quarantine(decoded).select("url", "status", "fault")
+    return payloads.quarantine(decoded).select("url", "status", "fault")
 
 
 def batch_counters(spark, sf):

@@ -37,11 +37,15 @@ def refusal(decode_fault: Column) -> Column:
     ).when(decode_fault, F.lit("payload does not fit its schema"))
 
 
-def quarantine(decoded: DataFrame) -> DataFrame:
-    """Refused captures with the reason, for a decoded frame with a `fault` column."""
-    return decoded.filter(F.col("fault").isNotNull()).select(
-        "url", "kind", "fetched_at", "status", "fault"
-    )
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a small input over all cores, any other input as it is.
+
+    Reading a body costs far more than moving it, so an input with fewer splits than
+    cores is worth a shuffle. A large input has more splits and is not shuffled.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    splits = rows.rdd.getNumPartitions() if not rows.isStreaming else cores
+    return rows.repartition(cores) if splits < cores else rows
 
 
 def frontier(links: DataFrame, captures: DataFrame) -> DataFrame:

@@ -72,6 +72,26 @@ def unnested(
     return exploded.filter(kept if or_if is None else kept | or_if)
 
 
+def those(rows: DataFrame, keep: Column, *columns) -> DataFrame:
+    """`columns` of the rows where `keep` holds, for a costly `keep`.
+
+    The test is made in the projection and not by a filter, which the optimizer would move
+    below it and so evaluate everything `keep` is made of a second time.
+    """
+    packed = F.when(keep, F.array(F.struct(*columns)))
+    return (
+        rows.select(F.explode_outer(packed).alias("row"))
+        .filter(F.col("row").isNotNull())
+        .select("row.*")
+    )
+
+
+def quarantine(decoded: DataFrame) -> DataFrame:
+    """Refused captures with the reason."""
+    about = ("url", "kind", "fetched_at", "status", "fault")
+    return those(decoded, F.col("fault").isNotNull(), *about)
+
+
 def _decoded(captures: DataFrame, schema: str) -> DataFrame:
     payload = F.from_json("body", schema, {"columnNameOfCorruptRecord": "_corrupt"})
     return captures.withColumn("payload", payload)
@@ -140,7 +160,9 @@ def payload_counts(decoded: DataFrame) -> DataFrame:
         F.lit(0),
         lambda n, g: n + F.greatest(F.coalesce(F.size(g["registrations"]), F.lit(0)), F.lit(0)),
     )
-    return decoded.filter(F.col("fault").isNull()).select(
+    return those(
+        decoded,
+        F.col("fault").isNull(),
         "url",
         "event_id",
         F.coalesce(F.size(groups), F.lit(0)).alias("n_groups"),
@@ -162,13 +184,20 @@ def registrations(decoded: DataFrame, keep_refused: bool = False) -> DataFrame:
     groups = unnested(
         decoded, sound, *about, item="g", position="group_pos", or_if=refused
     )
-    name = F.col("g.name").alias("group_name")
+    # the group's name is read once, not once per registration
+    parts = text.category_parts(text.or_empty(sound_text(F.col("g.name"))))
+    named = groups.select(
+        *about,
+        "group_pos",
+        F.struct(*[part.alias(n) for n, part in parts.items()]).alias("category"),
+        F.col("g.registrations").alias("regs"),
+    )
     return unnested(
-        groups,
-        F.col("g.registrations"),
+        named,
+        F.col("regs"),
         *about,
         "group_pos",
-        name,
+        "category",
         item="r",
         position="reg_pos",
         or_if=refused,
@@ -186,7 +215,6 @@ def event_athletes(unnested: DataFrame, site: Site) -> DataFrame:
         "r.categories",
         lambda c: F.struct(sound_text(c["weight_measured"]).alias("weight_measured")),
     )
-    parts = text.category_parts(text.or_empty(sound_text(F.col("group_name"))))
     user_id = text.or_zero(F.col("r.user_id"))
     flat = unnested.select(
         "url",
@@ -211,7 +239,7 @@ def event_athletes(unnested: DataFrame, site: Site) -> DataFrame:
         words("affiliationName").alias("affiliation_name"),
         urls.profile_url(user_id, site).alias("profile_url"),
         words("profile_image").alias("image_url"),
-        *[part.alias(name) for name, part in parts.items()],
+        "category.*",
         numbers.first_weight(weights).alias("actual_weight"),
         text.or_zero(F.col("r.seed_position")).cast("int").alias("seed"),
         F.lit(0).alias("ranking"),
@@ -231,7 +259,9 @@ def field_check(decoded: DataFrame) -> DataFrame:
         F.when(F.coalesce(text_of(first[f]), F.lit("")) == "", F.lit(f)) for f in required
     ]
     missing += [F.when(first[f].isNull(), F.lit(f)) for f in ("user_id", "age")]
-    return decoded.filter(F.col("fault").isNull()).select(
+    return those(
+        decoded,
+        F.col("fault").isNull(),
         "url",
         (F.coalesce(F.size("payload.participants"), F.lit(0)) > 0).alias("has_groups"),
         F.array_sort(F.array_compact(F.array(*missing))).alias("missing_fields"),

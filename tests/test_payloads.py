@@ -102,14 +102,13 @@ def test_one_wrong_type_refuses_the_whole_payload(spark):
 
 
 def test_failed_answers_are_quarantined(spark):
-    from meetlake.sources.captures import quarantine
-
+    
     rows = captures(
         spark,
         capture("participants", URL, payload(group("x", registration(1))), status=500),
         capture("participants", URL + "2", payload(group("x", registration(1)))),
     )
-    (row,) = quarantine(payloads.decode_participants(rows)).collect()
+    (row,) = payloads.quarantine(payloads.decode_participants(rows)).collect()
     assert row.fault == "status 500"
 
 
