@@ -13,18 +13,20 @@ from meetlake.operators.reads import Paging
 _OWNER = "l_suppkey"
 
 
-def matches(spark, sf):
-    """Lines as matches of a supplier: won if the line is filled, outcome by part type."""
+def fights(spark, sf):
+    """Lines as fights of a supplier: won if the line is filled, method by part type.
+
+    The outcomes are classed on the part side, once per part and not once per line.
+    """
     lines = table(spark, sf, "lineitem").select(
         "l_suppkey", "l_partkey", "l_returnflag", (F.col("l_linestatus") == "F").alias("is_winner")
     )
-    return lookup(lines, stand_in(spark, sf, "outcomes"), "l_partkey", "inner").select(
-        "l_suppkey", "l_returnflag", "is_winner", "outcome"
-    )
+    methods = tally.classed(stand_in(spark, sf, "outcomes"))
+    return lookup(lines, methods, "l_partkey", "inner").drop("l_partkey")
 
 
 def match_tally(spark, sf):
-    return tally.tally(matches(spark, sf), [_OWNER])
+    return tally.counted(fights(spark, sf), [_OWNER])
 
 
 def tally_page(spark, sf):
@@ -58,9 +60,9 @@ def totals_from_breakdown(spark, sf):
 
 def merge_stats(spark, sf):
     """Tally over all lines as the page's values, tally over returned ones put over it."""
-    rows = matches(spark, sf)
-    pages = tally.tally(rows, [_OWNER])
-    returned = tally.tally(rows.filter(F.col("l_returnflag") == "R"), [_OWNER])
+    rows = fights(spark, sf)
+    pages = tally.counted(rows, [_OWNER])
+    returned = tally.counted(rows.filter(F.col("l_returnflag") == "R"), [_OWNER])
     return tally.merged_with_tally(pages, returned, _OWNER)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 Rule = Callable[[Column, Column, Column], Column]
 """(stored value, incoming value, "row is stored") -> value of a row that is in the batch."""
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 ID_BUCKETS = 4096
 
 

@@ -17,21 +17,21 @@ from meetlake.sources.captures import frontier
 _SIDES = (("wins", True), ("losses", False))
 
 
-def tally(matches: DataFrame, by: list[str]) -> DataFrame:
-    """Ten counters per group from match rows with `is_winner` and `outcome` (AGG-2).
+def classed(matches: DataFrame) -> DataFrame:
+    """Rows with the `method` of their `outcome`; byes and walkovers are dropped.
 
-    Byes and walkovers do not count; an outcome without a known method counts in the
-    total only.
+    Apply it to the smaller side where outcomes come from a table of their own.
     """
     outcome = labels.normal_outcome(F.col("outcome"))
-    fought = matches.select(
-        *by,
-        "is_winner",
-        outcome.alias("outcome"),
-    ).filter(~labels.is_bye(F.col("outcome")))
-    classed = fought.select(
-        *by, "is_winner", labels.outcome_method(F.col("outcome")).alias("method")
-    )
+    fought = matches.withColumn("outcome", outcome).filter(~labels.is_bye(F.col("outcome")))
+    return fought.withColumn("method", labels.outcome_method(F.col("outcome"))).drop("outcome")
+
+
+def counted(fights: DataFrame, by: list[str]) -> DataFrame:
+    """Ten counters per group from rows with `is_winner` and `method`.
+
+    A fight without a known method counts in the total only.
+    """
     counts = []
     for side, won in _SIDES:
         mine = F.col("is_winner") == won
@@ -40,7 +40,12 @@ def tally(matches: DataFrame, by: list[str]) -> DataFrame:
             F.count_if(mine & (F.col("method") == m)).cast("int").alias(f"{side}_by_{m}")
             for m in METHODS
         ]
-    return classed.groupBy(*by).agg(*counts)
+    return fights.groupBy(*by).agg(*counts)
+
+
+def tally(matches: DataFrame, by: list[str]) -> DataFrame:
+    """Ten counters per group from match rows with `is_winner` and `outcome` (AGG-2)."""
+    return counted(classed(matches.select(*by, "is_winner", "outcome")), by)
 
 
 def counts_of(rows: Column) -> dict[str, Column]:
