@@ -178,7 +178,10 @@ def name_lookup(spark, sf):
 
 def name_lookup_hot(spark, sf):
     """The same by the plan for large tables, with the names of most rows salted."""
-    return lookup(*_named(spark, sf), "academy_name", hot_rows=10, table_is_small=False)
+    rows, names = _named(spark, sf)
+    return lookup(
+        rows, names, "academy_name", hot_rows=10, table_is_small=False, rows_are_small=False
+    )
 
 
 def athlete_row_ids(spark, sf):

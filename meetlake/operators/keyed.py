@@ -58,6 +58,23 @@ def last_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return rows.groupBy(*keys).agg(picked).select(*keys, "_row.*").select(*rows.columns)
 
 
+def not_stored(
+    incoming: DataFrame, stored: DataFrame, keys: list[str], small_batch: bool | None = None
+) -> DataFrame:
+    """Batch rows whose key is not stored (JON-9).
+
+    For a small batch the stored keys are first cut down to those of the batch, which are
+    no more than its rows, so the stored table is only scanned.
+    """
+    known = stored.select(*keys)
+    if small_batch is None:
+        small_batch = is_small(incoming)
+    if small_batch:
+        met = known.join(F.broadcast(incoming.select(*keys)), keys, "left_semi")
+        known = F.broadcast(met)
+    return incoming.join(known, keys, "left_anti")
+
+
 def upsert(
     stored: DataFrame,
     incoming: DataFrame,
@@ -111,10 +128,8 @@ def upsert(
     kept = merged(left.join(F.broadcast(right), keys, "left"))
     if not insert:
         return kept
-    # Stored keys of the batch: no more rows than the batch itself, so as small as it.
-    known = stored.select(*keys).join(F.broadcast(incoming.select(*keys)), keys, "left_semi")
     blanks = [F.lit(None).cast(types[c]).alias(f"s_{c}") for c in values]
-    fresh = right.join(F.broadcast(known), keys, "left_anti")
+    fresh = not_stored(right, stored, keys, small_batch=True)
     return kept.unionByName(
         merged(fresh.select("*", *blanks, F.lit(False).alias("is_stored")))
     )
@@ -130,8 +145,7 @@ def with_new_ids(
     one row per bucket. The ids depend on the keys alone, so a retried task gives the
     same ones.
     """
-    stored_keys = stored.select(*keys)
-    fresh = incoming.select(*keys).join(stored_keys, keys, "left_anti")
+    fresh = not_stored(incoming.select(*keys), stored, keys)
     fresh = fresh.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(ID_BUCKETS)).cast("int"))
     sizes = fresh.groupBy("_bucket").agg(F.count("*").alias("_n"))
     # at most ID_BUCKETS rows meet in this window

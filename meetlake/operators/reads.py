@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meetlake.operators.lookup import lookup
 from meetlake.operators.runs import last_completed
 from meetlake.session import ensure_checkpoint_dir
 
@@ -159,7 +160,8 @@ def with_academy(athletes: DataFrame, academies: DataFrame) -> DataFrame:
         F.col("external_id").alias("academy_external_id"),
         F.struct(*academies.columns).alias("academy"),
     )
-    return athletes.join(parents, "academy_external_id", "left").select(*athletes.columns, "academy")
+    joined = lookup(athletes, parents, "academy_external_id")
+    return joined.select(*athletes.columns, "academy")
 
 
 def first_by(table: DataFrame, column: str, value) -> DataFrame:
@@ -180,11 +182,15 @@ def academy_with_athletes(
     """
     parent = first_by(academies, "external_id", external_id)
     # The key is filtered on both sides, so each scan gets the pushed filter.
-    children = athletes.filter(F.col("academy_external_id") == external_id).select(
+    children = athletes.filter(F.col("academy_external_id") == external_id)
+    rows = children.select(
         F.col("academy_external_id").alias("external_id"),
-        F.struct(*athletes.columns).alias("athlete"),
+        F.struct(*children.columns).alias("athlete"),
     )
-    return parent.join(children, "external_id", "left")
+    # All children have one key: the parent, a single row, goes to them and not they to it.
+    beside = rows.join(F.broadcast(parent), "external_id")
+    lone = parent.join(F.broadcast(rows.select("external_id").limit(1)), "external_id", "left_anti")
+    return beside.unionByName(lone, allowMissingColumns=True).select(*parent.columns, "athlete")
 
 
 def needs_enrichment(athletes: DataFrame) -> DataFrame:
@@ -214,6 +220,21 @@ def status(academies: DataFrame, athletes: DataFrame, runs: DataFrame) -> DataFr
     )
 
 
+def answer(row: DataFrame, name: str) -> DataFrame:
+    """One JSON answer with a single row, or with an error if there is none (SNK-2)."""
+    found = row.limit(1).agg(F.first(F.struct(*row.columns)).alias("data"))
+    label = name.capitalize()
+    good = F.struct(
+        F.lit(True).alias("success"),
+        F.lit(f"{label} retrieved successfully").alias("message"),
+        "data",
+    )
+    bad = F.struct(F.lit(False).alias("success"), F.lit(f"{label} not found").alias("error"))
+    return found.select(
+        F.when(F.col("data").isNull(), F.to_json(bad)).otherwise(F.to_json(good)).alias("json")
+    )
+
+
 def envelope(page: DataFrame, all_rows: DataFrame, name: str, paging: Paging) -> DataFrame:
     """One JSON answer with the page and the count of all matching rows (SRT-6, SNK-2).
 

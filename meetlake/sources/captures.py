@@ -51,8 +51,8 @@ def spread(rows: DataFrame) -> DataFrame:
 def frontier(links: DataFrame, captures: DataFrame) -> DataFrame:
     """Linked addresses not captured yet, each once (JON-6). Both sides: `url`.
 
-    The links are made distinct first, so a link that stands on a third of all pages
-    is one row before it meets the captures.
+    Both sides are made distinct first, so a link that stands on a third of all pages, or
+    a page captured again and again, is one row per task before the shuffle.
     """
     wanted = links.select("url").filter(F.col("url").isNotNull() & (F.col("url") != ""))
-    return wanted.distinct().join(captures.select("url"), "url", "left_anti")
+    return wanted.distinct().join(captures.select("url").distinct(), "url", "left_anti")

@@ -90,7 +90,10 @@ def test_first_batch(store):
 def test_run_log_and_status(store):
     current = runs.current_runs(store.read("runs"))
     got = {r.job_type: (r.status, r.items_scraped) for r in current.collect()}
-    assert got == {"all": ("completed", 0), "academies": ("completed", 1), "athletes": ("completed", 0)}
+    assert got == {
+        "all": ("completed", 0), "academies": ("completed", 1), "athletes": ("completed", 0),
+        "events_upcoming": ("completed", 2),
+    }
     row = reads.status(store.read("academies"), store.read("athletes"), current).first()
     assert (row.total_academies, row.total_athletes) == (1, 2) and row.last_run is not None
 
@@ -109,6 +112,13 @@ def test_reads_on_the_store(store):
     assert [a["external_id"] for a in answer["data"]["athletes"]] == ["1", "2"]
     rows = reads.academy_with_athletes(academies, athletes, "9").collect()
     assert [r.athlete.external_id for r in rows] == ["1"]
+    (lone,) = reads.academy_with_athletes(academies, athletes.limit(0), "9").collect()
+    assert lone.name == "Gracie / São 1" and lone.athlete is None
+    assert reads.academy_with_athletes(academies, athletes, "0").collect() == []
+    one = json.loads(reads.answer(reads.first_by(athletes, "external_id", "2"), "athlete").first().json)
+    assert one["success"] and one["data"]["external_id"] == "2"
+    none = json.loads(reads.answer(reads.first_by(athletes, "external_id", "0"), "athlete").first().json)
+    assert none == {"success": False, "error": "Athlete not found"}
     assert [r.external_id for r in reads.enrichment_batch(athletes).collect()] == ["2"]
 
 
@@ -118,6 +128,15 @@ def test_a_committed_batch_is_not_merged_again(spark, store):
     assert len(store._batches()) == before
 
 
+def test_a_failed_batch_is_logged_and_changes_nothing(spark, store):
+    broken = first_batch(spark).drop("body")
+    with pytest.raises(Exception):
+        ingest(store, broken, SITE, "bad", NOW + timedelta(hours=1))
+    failed = runs.current_runs(store.read("runs")).filter("status = 'failed'").collect()
+    assert len(failed) == 1 and "body" in failed[0].error_message
+    assert store.read("athletes").count() == 2 and not store.is_done("bad")
+
+
 def test_an_open_batch_is_not_seen(spark, store):
     batch = store.begin("broken")
     batch.write("athletes", store.read("athletes").limit(0))

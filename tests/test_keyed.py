@@ -99,10 +99,10 @@ def test_lookup_of_a_hot_key_is_whole(spark):
     )
     for how in ("left", "inner"):
         plain = left.join(table, "k", how).select("id", "k", "found")
-        salted = lookup(left, table, "k", how, hot_rows=100, table_is_small=False)
+        salted = lookup(left, table, "k", how, hot_rows=100, table_is_small=False, rows_are_small=False)
         assert rows(salted.select("id", "k", "found"), "id") == rows(plain, "id")
     parts = (
-        lookup(left, table, "k", hot_rows=100, table_is_small=False)
+        lookup(left, table, "k", hot_rows=100, table_is_small=False, rows_are_small=False)
         ._jdf.queryExecution().optimizedPlan().toString()
     )
     assert "_salt" in parts and "approx_top_k" in parts
