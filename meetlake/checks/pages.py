@@ -13,7 +13,7 @@ from meetlake.operators.tally import profile_counters
 from meetlake.plans import academies, profiles
 from meetlake.session import staged
 from meetlake.sources import pages
-from meetlake.sources.captures import answered
+from meetlake.sources.captures import answered, spread
 from meetlake.sources.markup import Pick, Record, field, found_of, records_in
 from meetlake.sources.payloads import unnested
 
@@ -24,7 +24,7 @@ _PARSED = (
 
 
 def _found(spark, sf):
-    return table(spark, sf, "pages").select("page_id", records_in(F.col("html"), _PARSED).alias("found"))
+    return spread(table(spark, sf, "pages")).select("page_id", records_in(F.col("html"), _PARSED).alias("found"))
 
 
 def page_links(spark, sf):

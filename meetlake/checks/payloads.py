@@ -12,7 +12,7 @@ from meetlake.operators import runs, tally
 from meetlake.plans import event_athletes, event_details, listings, profiles
 from meetlake.session import staged
 from meetlake.sources import payloads
-from meetlake.sources.captures import frontier
+from meetlake.sources.captures import frontier, spread
 from meetlake.sources.pages import page_links
 
 _FLAT = (
@@ -155,7 +155,7 @@ def event_props(spark, sf):
     quoted = F.concat(F.lit('{"organizer": {"name": "'), "event_type", F.lit('"}, "location_city": "c"}'))
     doc = payloads.open_object(F.when(F.col("event_id") % 3 == 0, quoted).otherwise(nested))
     fields = payloads.panel_fields(doc)
-    return table(spark, sf, "events").select(
+    return spread(table(spark, sf, "events")).select(
         "event_id",
         payloads.text_of(F.try_variant_get(F.try_parse_json(props), "$.k", "variant")).alias("k"),
         text.first_filled(fields["organizer_name"]).alias("organizer"),

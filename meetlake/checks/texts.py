@@ -6,6 +6,11 @@ from pyspark.sql import functions as F
 
 from meetlake.checks.stand_ins import SITE, table
 from meetlake.functions import labels, numbers, places, text, urls
+from meetlake.sources.captures import spread
+
+
+def _documents(spark, sf):
+    return spread(table(spark, sf, "documents"))
 
 
 def category_parts(spark, sf):
@@ -35,7 +40,7 @@ def full_names(spark, sf):
 def document_labels(spark, sf):
     """FN-0, FN-8: whole texts as labels."""
     padded = F.concat(F.lit("\t  "), F.col("text"), F.lit("　\n"))
-    return table(spark, sf, "documents").select(
+    return _documents(spark, sf).select(
         "doc_id",
         F.md5(text.strip(padded)).alias("stripped"),
         F.md5(text.normal_label(F.col("text"))).alias("label"),
@@ -45,7 +50,7 @@ def document_labels(spark, sf):
 def document_numbers(spark, sf):
     """FN-6, FN-7 on whole texts and on numbers with commas."""
     commas = F.concat(F.lit(" "), F.format_number("n_chars", 0))
-    return table(spark, sf, "documents").select(
+    return _documents(spark, sf).select(
         "doc_id",
         numbers.first_int(F.col("text")).alias("first_in_text"),
         numbers.first_int(commas).alias("first_int"),
@@ -56,7 +61,7 @@ def document_numbers(spark, sf):
 
 def document_slugs(spark, sf):
     """FN-4 on whole texts."""
-    return table(spark, sf, "documents").select("doc_id", F.md5(text.slug(F.col("text"))).alias("slug"))
+    return _documents(spark, sf).select("doc_id", F.md5(text.slug(F.col("text"))).alias("slug"))
 
 
 def document_methods(spark, sf):
@@ -71,7 +76,7 @@ def document_methods(spark, sf):
         "text",
     )
     outcome = labels.normal_outcome(words)
-    return table(spark, sf, "documents").select(
+    return _documents(spark, sf).select(
         "doc_id",
         labels.outcome_method(outcome).alias("method"),
         labels.is_bye(outcome).alias("bye"),
@@ -128,7 +133,7 @@ def country_tables(spark, sf):
 def country_list(spark, sf):
     """FN-23 on the commas of whole texts."""
     items = text.comma_list(F.col("text"))
-    return table(spark, sf, "documents").select(
+    return _documents(spark, sf).select(
         "doc_id",
         F.size(items).alias("n_items"),
         F.md5(F.array_join(items, "|")).alias("items"),

@@ -44,7 +44,7 @@ def normal_label(label: Column) -> Column:
 
 def slug(name: Column) -> Column:
     """Lower case, blanks and slashes to dashes, all but [a-z0-9-] dropped (FN-4)."""
-    return F.regexp_replace(F.translate(F.lower(name), " /", "--"), "[^a-z0-9-]", "")
+    return F.regexp_replace(F.translate(F.lower(name), " /", "--"), "[^a-z0-9-]+", "")
 
 
 def full_name(first: Column, middle: Column, last: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,11 +16,8 @@ SHALLOW_ROWS = 100_000
 
 
 def _whole(value, default: int) -> int:
-    """A number given as text; anything that is none counts as the default."""
-    try:
-        return int(value)
-    except (TypeError, ValueError):
-        return default
+    """A number, maybe given as text; anything that is none counts as the default."""
+    return int(value) if re.fullmatch("[+-]?[0-9]+", str(value)) else default
 
 
 @dataclass(frozen=True)

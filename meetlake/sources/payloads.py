@@ -138,7 +138,9 @@ def _participants_fault(payload: Column) -> Column:
 def decode_participants(captures: DataFrame) -> DataFrame:
     """Participants captures with `payload` and `fault` (why refused, else null)."""
     decoded = _decoded(of_kind(captures, "participants"), schemas.PARTICIPANTS_PAYLOAD)
-    fault = refusal(_participants_fault(F.col("payload")))
+    # text after the object: the JSON parser stops at the closing bracket
+    trailing = ~F.endswith(text.strip(F.coalesce("body", F.lit(""))), F.lit("}"))
+    fault = refusal(_participants_fault(F.col("payload")) | trailing)
     event_id = F.regexp_extract("url", "/event/([^/?#]+)", 1)
     return decoded.select(
         "url",
@@ -377,7 +379,9 @@ def embedded_event_fields(event: Column) -> list[Column]:
 # --- event page: linked data and side documents (HTM-10, JSN-5 … JSN-8) ----------------
 
 _LD_TEXTS = ("@type", "name", "startDate", "endDate", "image", "description", "url")
-_LD_SCRIPT = r"(?is)<script[^>]*\btype\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
+_LD_SCRIPT = (
+    r"(?is)<script(?:\s[^>]*)?\stype\s*=\s*([\"']?)application/ld\+json\1(?:\s[^>]*)?>(.*?)</script"
+)
 
 
 def _member(value: Column, path: str) -> Column:
@@ -408,7 +412,7 @@ def linked_event(page: Column) -> Column:
     A script holds an object or a list (JSN-8). One element of a wrong type refuses its
     whole script; the search goes on with the next one.
     """
-    scripts = F.regexp_extract_all(page, F.lit(_LD_SCRIPT), F.lit(1))
+    scripts = F.regexp_extract_all(page, F.lit(_LD_SCRIPT), F.lit(2))
 
     # Each step is a pass of its own over the few scripts of the page, so that no step
     # is evaluated again for every use of its result.

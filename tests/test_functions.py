@@ -149,7 +149,7 @@ def test_urls(spark):
 
 def test_arguments():
     assert Paging.of("0", "101") == Paging(1, 20)
-    assert Paging.of("x", None) == Paging(1, 20)
+    assert Paging.of("x", None) == Paging.of(" 2", "1_0") == Paging(1, 20)
     assert Paging.of(3, 100).offset == 200
     assert EnrichmentBatch.of(0, -1, None) == EnrichmentBatch(50, 0, True)
     assert EnrichmentBatch.of("900", "5", "f") == EnrichmentBatch(200, 5, False)

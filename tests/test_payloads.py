@@ -87,6 +87,7 @@ def test_one_wrong_type_refuses_the_whole_payload(spark):
         payload(categories=[{"weight_maximum": "heavy"}]),
         payload(categories=[{"weight_maximum": True}]),
         "not json",
+        '{"participants": []} x',
         "",
     ]
     sound = [
