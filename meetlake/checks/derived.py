@@ -99,43 +99,50 @@ def participants(spark, sf) -> DataFrame:
 
 
 def profile_events(spark, sf) -> DataFrame:
-    """A customer as an athlete with one or two pages of matches."""
-    customers = table(spark, sf, "customer")
+    """A customer as an athlete with one or two pages of matches.
+
+    Every third has a second page, which is missing for every twelfth; the first page
+    failed for every tenth.
+    """
+    customers = spread(table(spark, sf, "customer"))
+    key = F.col("c_custkey")
+    captured = F.when((key % 3 == 0) & (key % 12 > 0), F.array(F.lit(0), F.lit(1)))
+    paged = customers.withColumn("page", F.explode(F.coalesce(captured, F.array(F.lit(0)))))
     outcomes = F.array(
         *[F.lit(o) for o in ("Submission", "Decision", "Points ", "DQ", "Bye", "walkover", "Other")]
     )
-
-    def body(page: int, next_url):
-        matches = F.transform(
-            F.sequence(F.lit(0), (F.col("c_custkey") % 5).cast("int")),
-            lambda i: F.struct(
-                ((i + F.col("c_nationkey") + page) % 2 == 0).alias("is_winner"),
-                F.get(outcomes, ((i + F.col("c_custkey") + page) % 7).cast("int")).alias("outcome"),
-            ),
-        )
-        events = F.array(
-            F.struct(
-                F.array(
-                    F.struct(matches.alias("matches")),
-                    F.struct(F.lit(None).cast(_MATCHES).alias("matches")),
-                ).alias("registrations")
-            ),
-            F.struct(F.lit(None).cast(_REGISTRATIONS).alias("registrations")),
-        )
-        return F.to_json(
-            F.struct(events.alias("data"), next_url.alias("next_page_url")),
-            {"ignoreNullFields": "false"},
-        )
-
-    base = "concat('https://example.com/en/profile/', c_custkey, '/events')"
-    path = F.concat(F.lit("/en/profile/"), "c_custkey", F.lit("/events?page=2"))
-    next_url = F.when(F.col("c_custkey") % 3 == 0, path)
-    ended = F.when(F.col("c_custkey") % 2 == 0, "")
-    failed = "CASE WHEN c_custkey % 10 = 9 THEN 500 ELSE 200 END"
-    first = _captures(customers, "profile_events", base, body(0, next_url), status=failed)
-    linked = customers.filter((F.col("c_custkey") % 3 == 0) & (F.col("c_custkey") % 12 > 0))
-    second = _captures(linked, "profile_events", f"concat({base}, '?page=2')", body(1, ended))
-    return first.unionByName(second)
+    matches = F.transform(
+        F.sequence(F.lit(0), (key % 5).cast("int")),
+        lambda i: F.struct(
+            ((i + F.col("c_nationkey") + F.col("page")) % 2 == 0).alias("is_winner"),
+            F.get(outcomes, ((i + key + F.col("page")) % 7).cast("int")).alias("outcome"),
+        ),
+    )
+    events = F.array(
+        F.struct(
+            F.array(
+                F.struct(matches.alias("matches")),
+                F.struct(F.lit(None).cast(_MATCHES).alias("matches")),
+            ).alias("registrations")
+        ),
+        F.struct(F.lit(None).cast(_REGISTRATIONS).alias("registrations")),
+    )
+    path = F.concat(F.lit("/en/profile/"), key, F.lit("/events?page=2"))
+    next_url = F.when((F.col("page") == 0) & (key % 3 == 0), path).when(
+        (F.col("page") == 1) & (key % 2 == 0), ""
+    )
+    body = F.to_json(
+        F.struct(events.alias("data"), next_url.alias("next_page_url")),
+        {"ignoreNullFields": "false"},
+    )
+    return _captures(
+        paged,
+        "profile_events",
+        "concat('https://example.com/en/profile/', c_custkey, '/events', "
+        "CASE page WHEN 1 THEN '?page=2' ELSE '' END)",
+        body,
+        status="CASE WHEN page = 0 AND c_custkey % 10 = 9 THEN 500 ELSE 200 END",
+    )
 
 
 _MATCHES = "array<struct<is_winner:boolean,outcome:string>>"

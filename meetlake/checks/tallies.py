@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meetlake.checks.stand_ins import stand_in, table, with_stand_ins
+from meetlake.checks.stand_ins import stand_in, table
 from meetlake.functions.labels import COUNTERS, METHODS
 from meetlake.operators import reads, tally
 from meetlake.operators.lookup import lookup

@@ -12,10 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meetlake.session import staged
+
 Rule = Callable[[Column, Column, Column], Column]
 """(stored value, incoming value, "row is stored") -> value of a row that is in the batch."""
 
-BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_BYTES = 16 * 1024 * 1024
 ID_BUCKETS = 4096
 
 
@@ -83,11 +85,14 @@ def upsert(
     default: Rule = replace,
     insert: bool = True,
     small_batch: bool | None = None,
+    new_if: str | None = None,
 ) -> DataFrame:
     """Stored rows with a batch merged in on the key (JON-5).
 
     `incoming` holds each key once. Columns it lacks are null in it, so they want the
-    rule `keep` or `fill`. `insert=False` drops batch rows without a stored row.
+    rule `keep` or `fill`. `insert=False` drops batch rows without a stored row. `new_if`
+    names a column of the batch that is set for rows known to be new, see `with_new_ids`;
+    the stored keys are then not searched again for them.
     """
     values = [c for c in stored.columns if c not in keys]
     types = dict(stored.dtypes)
@@ -102,6 +107,7 @@ def upsert(
             for c in values
         ],
         F.lit(True).alias("is_given"),
+        (F.col(new_if).isNotNull() if new_if else F.lit(None)).alias("is_new"),
     )
     if small_batch is None:
         small_batch = is_small(incoming)
@@ -129,7 +135,7 @@ def upsert(
     if not insert:
         return kept
     blanks = [F.lit(None).cast(types[c]).alias(f"s_{c}") for c in values]
-    fresh = not_stored(right, stored, keys, small_batch=True)
+    fresh = right.filter("is_new") if new_if else not_stored(right, stored, keys, True)
     return kept.unionByName(
         merged(fresh.select("*", *blanks, F.lit(False).alias("is_stored")))
     )
@@ -143,9 +149,9 @@ def with_new_ids(
     New keys are numbered inside hash buckets, and each bucket starts where the ones
     before it end: no task sees more than its buckets, and the only thing broadcast is
     one row per bucket. The ids depend on the keys alone, so a retried task gives the
-    same ones.
+    same ones. The new keys are staged, as finding them goes over all stored keys.
     """
-    fresh = not_stored(incoming.select(*keys), stored, keys)
+    fresh = staged(not_stored(incoming.select(*keys), stored, keys), "new-keys")
     fresh = fresh.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(ID_BUCKETS)).cast("int"))
     sizes = fresh.groupBy("_bucket").agg(F.count("*").alias("_n"))
     # at most ID_BUCKETS rows meet in this window

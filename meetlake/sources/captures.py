@@ -29,6 +29,14 @@ def answered(captures: DataFrame) -> DataFrame:
     return captures.filter(F.col("status") == 200)
 
 
+def unanswered(captures: DataFrame, *kinds: str) -> DataFrame:
+    """Captures of the kinds that were not answered, with the reason."""
+    failed = captures.filter(F.col("kind").isin(*kinds)).withColumn("fault", refusal(F.lit(False)))
+    return failed.filter(F.col("fault").isNotNull()).select(
+        "url", "kind", "fetched_at", "status", "fault"
+    )
+
+
 def refusal(decode_fault: Column) -> Column:
     """Why a capture is not used, null if it is: answer status first, then its content."""
     return F.when(

@@ -14,7 +14,9 @@ import json
 
 from meetlake import Site
 from meetlake.operators import reads, runs
+from meetlake.plans import event_athletes
 from meetlake.plans.ingest import ingest
+from meetlake.sources.schemas import ENTITY_TABLES
 from meetlake.sources.store import Store
 from meetlake.streaming import jobs
 
@@ -54,6 +56,7 @@ def first_batch(spark):
             },
         ),
         capture("profile_events", f"{BASE}/en/profile/2/events", "oops", status=503),
+        capture("event", f"{BASE}/en/event/8", "gone", status=404),
     )
 
 
@@ -84,7 +87,9 @@ def test_first_batch(store):
     assert store.read("event_details").first().location_city == "Rio"
     assert table(store, "academies")["9"].country_code == "BR"
     refused = {(r.kind, r.fault.split()[0]) for r in store.read("quarantine").collect()}
-    assert refused == {("participants", "payload"), ("profile_events", "status")}
+    assert refused == {
+        ("participants", "payload"), ("profile_events", "status"), ("event", "status"),
+    }
 
 
 def test_run_log_and_status(store):
@@ -196,6 +201,50 @@ def test_stream_and_batch_give_the_same_tables(spark, store, tmp_path):
         assert comparable(streamed, name) == comparable(whole, name)
 
 
+def test_a_batch_cut_in_two_gives_the_same_rows(spark):
+    clubs = spark.createDataFrame([(1, "9", "Club")], "id bigint, external_id string, name string")
+    athletes = spark.createDataFrame([], ENTITY_TABLES["athletes"])
+    regs = spark.createDataFrame([], ENTITY_TABLES["event_registrations"])
+    early = capture(
+        "participants",
+        URL,
+        participants(
+            group(GROUP, registration(1, clubName="Club"), registration(2, clubName="?")),
+            group("x", registration(1, clubName="", age=9)),
+        ),
+    )
+    late = capture(
+        "participants",
+        URL,
+        participants(
+            group(GROUP, registration(1, clubName="", age=40), registration(2, clubName="Club")),
+            group(GROUP, registration(3, seed_position=2)),
+        ),
+        at=T0 + timedelta(hours=1),
+    )
+    now = F.lit(NOW)
+
+    def merged(stored, stored_regs, *rows):
+        flat = event_athletes.flat_registrations(captures(spark, *rows), SITE)
+        people = event_athletes.merge_athletes(flat, stored, clubs, now)
+        return people, event_athletes.merge_registrations(flat, people, stored_regs, now)
+
+    def content(people, entries):
+        names = people.select("external_id", "age", "academy_external_id", "full_name", "id")
+        rows = entries.join(names, F.col("athlete_id") == names.id)
+        return (
+            sorted(map(tuple, names.drop("id").collect())),
+            sorted(map(tuple, rows.select("external_id", "division", "rank", "seed").collect())),
+        )
+
+    at_once = content(*merged(athletes, regs, late, early))
+    in_turn = content(*merged(*merged(athletes, regs, early), late))
+    assert at_once == in_turn
+    assert [(r[0], r[1], r[2]) for r in at_once[0]] == [
+        ("1", 40, "9"), ("2", 30, "9"), ("3", 30, ""),
+    ]
+
+
 def test_repeats_in_a_stream(spark, tmp_path):
     rows = [(f"u{i % 3}", T0 + timedelta(seconds=i)) for i in range(9)]
     spark.createDataFrame(rows, "url string, at timestamp").write.parquet(str(tmp_path / "in"))
