@@ -9,6 +9,7 @@ from meetlake.checks.stand_ins import SITE, table
 from meetlake.functions import urls
 from meetlake.functions.labels import COUNTERS
 from meetlake.operators.hosts import host_of_event
+from meetlake.operators.reads import EnrichmentBatch
 from meetlake.operators.tally import profile_counters
 from meetlake.plans import academies, profiles
 from meetlake.session import staged
@@ -113,6 +114,26 @@ def profiles_merged(spark, sf):
     return merged.select("id", "external_id", "belt_rank", *COUNTERS, changed)
 
 
+def enriched_batch(spark, sf):
+    """SRT-5, FLT-3, FLT-6 into DML-5: only the athletes of one batch are enriched."""
+    captures = derived.profiles(spark, sf).unionByName(derived.profile_events(spark, sf))
+    stored = table(spark, sf, "customer").select(
+        (F.col("c_custkey") + 1).alias("id"),
+        (F.col("c_custkey") * 2).cast("string").alias("external_id"),
+        F.when(F.col("c_custkey") % 4 > 0, "").otherwise("black").alias("belt_rank"),
+        F.lit("").alias("profile_url"),
+        *[(F.col("c_custkey") % 3).cast("int").alias(c) for c in COUNTERS],
+    )
+    stored = stored.withColumns(
+        {c: F.lit("2020-01-01").cast("timestamp") for c in ("scraped_at", "updated_at")}
+    )
+    now = F.lit("2026-01-01").cast("timestamp")
+    batch = EnrichmentBatch.of("60", "5")
+    merged = profiles.enrich(stored, captures, SITE, batch, now)
+    changed = (F.col("scraped_at") == now).alias("changed")
+    return merged.select("id", "external_id", "belt_rank", *COUNTERS, changed)
+
+
 def host_choice(spark, sf):
     """AGG-6, FN-25: events as probe answers of a user's hosts."""
     hosts = F.array(*[F.lit(h) for h in SITE.hosts], F.lit("other.test"))
@@ -141,7 +162,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         page_links, html_links_parser, page_list_items, academy_fields, academies_merged,
-        profile_fields, profiles_merged, host_choice,
+        profile_fields, profiles_merged, enriched_batch, host_choice,
     )
 }
 
@@ -228,6 +249,19 @@ SQL = {
             ba.external_id IS NOT NULL AS changed
         FROM st LEFT JOIN ba ON st.external_id = ba.external_id
         LEFT JOIN ta ON ta.external_id = ba.external_id""",
+    "enriched_batch": f"""
+        WITH ta AS ({_tally_sql()}),
+        st AS (SELECT c_custkey + 1 AS id, CAST(c_custkey * 2 AS STRING) AS external_id,
+            CASE WHEN c_custkey % 4 > 0 THEN '' ELSE 'black' END AS belt_rank,
+            CAST(c_custkey % 3 AS INTEGER) AS n FROM customer),
+        chosen AS (SELECT id FROM st WHERE belt_rank = '' OR n = 0 ORDER BY id LIMIT 60 OFFSET 5),
+        ba AS (SELECT p.* FROM ({_PROFILE}) p JOIN st ON st.external_id = p.external_id
+            WHERE st.id IN (SELECT id FROM chosen))
+        SELECT st.id, st.external_id, coalesce(ba.belt_rank, st.belt_rank) AS belt_rank,
+            {', '.join(f"coalesce(CASE WHEN ta.{c} > 0 THEN ta.{c} ELSE ba.{c} END, st.n) AS {c}" for c in COUNTERS)},
+            ba.external_id IS NOT NULL AS changed
+        FROM st LEFT JOIN ba ON st.external_id = ba.external_id
+        LEFT JOIN ta ON ta.external_id = ba.external_id""",
     "host_choice": f"""
         WITH hosts(rank, host) AS (VALUES {', '.join(f"({i}, '{h}')" for i, h in enumerate(SITE.hosts))}),
         usable AS (SELECT user_id, min(event_id % 9) AS rank FROM events

@@ -12,7 +12,7 @@ _RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # a batch of pages sent to Python is held in memory whole
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
 
