@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meetlake.checks.stand_ins import table
+from meetlake.checks import stand_ins
 from meetlake.sources.captures import spread
 
 _COLUMNS = (
@@ -18,6 +18,10 @@ _COLUMNS = (
 )
 
 
+def table(spark, sf, name) -> DataFrame:
+    return spread(stand_ins.table(spark, sf, name))
+
+
 def _captures(rows: DataFrame, kind: str, url: str, body, **more: str) -> DataFrame:
     given = {
         "fetched_at": "TIMESTAMP '2026-01-01 00:00:00'",
@@ -28,7 +32,6 @@ def _captures(rows: DataFrame, kind: str, url: str, body, **more: str) -> DataFr
         "event_name": "CAST(NULL AS STRING)",
     } | more
     columns = {name: F.expr(text) for name, text in given.items()}
-    rows = spread(rows)
     columns |= {"kind": F.lit(kind), "url": F.expr(url), "body": body}
     return rows.select(*[columns[c].alias(c) for c in _COLUMNS])
 
@@ -84,7 +87,7 @@ def participants(spark, sf) -> DataFrame:
         F.struct(F.array(first, second).alias("participants"), limits.alias("categories")),
         {"ignoreNullFields": "false"},
     )
-    orders = spread(orders).withColumn("payload", payload)
+    orders = orders.withColumn("payload", payload)
     payload = F.col("payload")
     wrong_age = F.replace(payload, F.lit('"age":'), F.lit('"age":"x","old_age":'))
     return _captures(
@@ -104,7 +107,7 @@ def profile_events(spark, sf) -> DataFrame:
     Every third has a second page, which is missing for every twelfth; the first page
     failed for every tenth.
     """
-    customers = spread(table(spark, sf, "customer"))
+    customers = table(spark, sf, "customer")
     key = F.col("c_custkey")
     captured = F.when((key % 3 == 0) & (key % 12 > 0), F.array(F.lit(0), F.lit(1)))
     paged = customers.withColumn("page", F.explode(F.coalesce(captured, F.array(F.lit(0)))))

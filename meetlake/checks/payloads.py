@@ -111,9 +111,9 @@ def first_weight(spark, sf):
         F.when(F.col("l_linenumber") % 3 == 0, F.col("l_quantity").cast("string")),
         F.when(F.col("l_linenumber") % 5 > 0, F.col("l_extendedprice").cast("string")),
     ]
-    categories = F.array(*[F.struct(t.alias("weight_measured")) for t in texts])
+    weight = numbers.first_weight(F.array(*texts))
     return table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", numbers.first_weight(categories).alias("weight")
+        "l_orderkey", "l_partkey", "l_linenumber", weight.alias("weight")
     )
 
 

@@ -48,7 +48,7 @@ def is_bad_flexible_double(value: Column) -> Column:
     return filled & strict_double(value).isNull()
 
 
-def first_weight(categories: Column) -> Column:
-    """First `weight_measured` of the list that is a number, else 0 (JSN-3)."""
-    weights = F.transform(categories, lambda c: strict_double(c["weight_measured"]))
-    return F.coalesce(F.get(F.filter(weights, lambda w: w.isNotNull()), F.lit(0)), F.lit(0.0))
+def first_weight(texts: Column) -> Column:
+    """First text of the list that is a number, else 0 (JSN-3); null texts are passed over."""
+    numeric = F.filter(texts, lambda t: t.rlike(_DECIMAL))
+    return F.coalesce(F.get(numeric, F.lit(0)).try_cast("double"), F.lit(0.0))

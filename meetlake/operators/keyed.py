@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meetlake.session import staged
+from meetlake.session import estimated_bytes, staged
 
 Rule = Callable[[Column, Column, Column], Column]
 """(stored value, incoming value, "row is stored") -> value of a row that is in the batch."""
@@ -36,15 +36,6 @@ def fill(stored: Column, incoming: Column, is_stored: Column) -> Column:
     return F.coalesce(incoming, stored)
 
 
-def estimated_bytes(frame: DataFrame) -> int | None:
-    """Catalyst's upper estimate of a frame's size, None where it cannot be asked."""
-    try:
-        stats = frame._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except AttributeError:  # no local JVM, as over Spark Connect
-        return None
-
-
 def is_small(frame: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     size = estimated_bytes(frame)
     return size is not None and size <= limit

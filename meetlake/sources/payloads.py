@@ -213,10 +213,7 @@ def event_athletes(unnested: DataFrame, site: Site) -> DataFrame:
         return text.or_empty(sound_text(F.col(f"r.{name}")))
 
     first, middle, last = words("firstname"), words("middle_name"), words("lastname")
-    weights = F.transform(
-        "r.categories",
-        lambda c: F.struct(sound_text(c["weight_measured"]).alias("weight_measured")),
-    )
+    weights = F.transform("r.categories", lambda c: sound_text(c["weight_measured"]))
     user_id = text.or_zero(F.col("r.user_id"))
     flat = unnested.select(
         "url",
