@@ -26,10 +26,13 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def bounded_sample(rows: DataFrame, bound: int, *keys: str) -> DataFrame:
-    """`bound` rows by the order of a hash of `keys`; all rows where there are fewer.
+def bounded_sample(rows: DataFrame, bound: int, total: int, *keys: str) -> DataFrame:
+    """`bound` of `total` rows by the order of a hash of `keys`; all rows where there are fewer.
 
-    Only for fitting: a top-k of at most `bound` rows, so neither a task nor the driver
-    ever holds more than that.
+    Only for fitting. A filter on the hash leaves about twice the bound before the rows are
+    ordered, so what is moved does not grow with the input.
     """
-    return rows.orderBy(F.xxhash64(*keys), *keys).limit(bound)
+    order = F.xxhash64(*keys)
+    if total > 2 * bound:
+        rows = rows.filter(F.pmod(order, F.lit(1_000_003)) < 2 * bound * 1_000_003 // total)
+    return rows.orderBy(order, *keys).limit(bound)

@@ -250,15 +250,21 @@ def _patterns(counts: Counter) -> tuple[np.ndarray, np.ndarray]:
     return rows.reshape(len(keys), len(LABELLERS)), np.array([counts[k] for k in keys], float)
 
 
-def fit(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> QualityModel:
+def fit(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS
+) -> QualityModel:
     """Label model from the votes on all documents, scorer from a bounded sample.
 
     What reaches the driver is a count per vote pattern (at most 3^10 of them) and the sample.
     """
-    texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
+    texts = docs.select(
+        F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
+    )
     counted = texts.select(vote_pattern("text").alias("p")).groupBy("p").count().collect()
     labellers = fit_labellers(*_patterns(Counter({r["p"]: r["count"] for r in counted})))
-    pick = bounded_sample(texts.filter(F.length("text") <= SAMPLE_CHARS), rows, "text")
+    total = sum(r["count"] for r in counted)
+    fitting = texts.filter(F.length("text") <= SAMPLE_CHARS)
+    pick = bounded_sample(fitting, rows, total, "id", "text").select("text")
     x, seen = [], []
     for r in pick.toLocalIterator():
         s = signals(r["text"])
@@ -272,13 +278,13 @@ def fit(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> Quality
 
 def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, quality (0 to 1), keep (1 if quality >= 0.5, else 0)."""
-    model = fit(docs, text)
+    model = fit(docs, doc_id, text)
     rows = docs.select(F.col(doc_id).alias("doc_id"), model.score(F.col(text)).alias("quality"))
     return rows.withColumn("keep", (F.col("quality") >= THRESHOLD).cast("int"))
 
 
-def kept(docs: DataFrame, text: str = "text") -> DataFrame:
+def kept(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents the classifier does not reject, with all their columns."""
     mark = free_name(docs, "quality_score")
-    marked = docs.withColumn(mark, fit(docs, text).score(F.col(text)))
+    marked = docs.withColumn(mark, fit(docs, doc_id, text).score(F.col(text)))
     return marked.filter(F.col(mark) >= THRESHOLD).drop(mark)

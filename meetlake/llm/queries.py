@@ -2,7 +2,20 @@
 
 from __future__ import annotations
 
-from meetlake.llm import quality, simhash, toxicity
+import public_tokenizers
+
+from meetlake.llm import (
+    media,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    token_counts,
+    topk,
+    toxicity,
+    urls,
+    warc,
+)
 from meetlake.llm.common import table
 
 
@@ -21,5 +34,48 @@ def op3_simhash(spark, sf_dir):
     return simhash.grouped(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_quality, op2_toxicity, op3_simhash)}
-SQL: dict[str, str] = {}
+def op4_topk(spark, sf_dir):
+    """The 20 best rows of every vector whose id is divisible by 20."""
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.search(rows, topk.every_nth(rows))
+
+
+def op5_warc(spark, sf_dir):
+    """All pages written as an archive and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op6_mixing(spark, sf_dir):
+    """Words taken of every document for the mix of sources."""
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark, sf_dir):
+    """All documents packed into sequences of 4096 tokens."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed(table(spark, sf_dir, "documents"), vocabulary)
+
+
+def op8_urls(spark, sf_dir):
+    """A verdict on every page's URL."""
+    rows = urls.judged(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_token_counts(spark, sf_dir):
+    """Exact token counts of all documents."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.counted(table(spark, sf_dir, "documents"), vocabulary)
+
+
+def op10_media(spark, sf_dir):
+    """All documents stored as transport streams and read back."""
+    return media.measured(media.stored(table(spark, sf_dir, "documents")))
+
+
+_ALL = (
+    op1_quality, op2_toxicity, op3_simhash, op4_topk, op5_warc, op6_mixing, op7_packing, op8_urls,
+    op9_token_counts, op10_media,
+)
+QUERIES = {q.__name__: q for q in _ALL}
+SQL = {"op4_topk": topk.SQL, "op5_warc": warc.SQL, "op6_mixing": mixing.SQL}

@@ -340,8 +340,12 @@ def fit(
         F.length("text").between(1, SAMPLE_CHARS)
     )
     # ids first, so that no more texts than the sample are moved; half as many more for long ones
+    totals = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
     picked = [
-        bounded_sample(marked.filter(F.col("label") == k), rows + rows // 2, "id") for k in (0, 1)
+        bounded_sample(
+            marked.filter(F.col("label") == k), rows + rows // 2, totals.get(k, 0), "id"
+        )
+        for k in (0, 1)
     ]
     few = F.broadcast(picked[0].unionByName(picked[1]).dropDuplicates(["id"]))
     got = [r for r in short.join(few, "id").toLocalIterator()]
