@@ -1,0 +1,109 @@
+"""Near-dedup and top-k search against brute force."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import numpy as np
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from meetlake.llm import simhash, topk
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def _brute_fingerprint(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        low = low.replace(c, " ")
+    words = [w for w in low.split(" ") if w]
+    if not words:
+        return 0
+    n = len(words)
+    grams = [" ".join(words)] if n < 3 else [" ".join(words[i : i + 3]) for i in range(n - 2)]
+    count = Counter()
+    for g in grams:
+        h = xxhash.xxh64_intdigest(g.encode(), 42)
+        count.update(i for i in range(64) if h >> i & 1)
+    return sum(1 << i for i in range(64) if count[i] * 2 > len(grams))
+
+
+def test_golay_code_is_perfect():
+    _, _, errors = simhash._tables()
+    weights = Counter(int(e).bit_count() for e in errors)
+    assert weights == {0: 1, 1: 23, 2: 253, 3: 1771}
+    words = np.arange(2**12, dtype=np.int64) << 11
+    words ^= simhash._remainder(words)
+    assert (simhash.codeword_index(words) == np.arange(2**12)).all()
+    for bit in range(23):
+        assert (simhash.codeword_index(words ^ (1 << bit)) == np.arange(2**12)).all()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.integers(0, 2**64 - 1), st.sets(st.integers(0, 63), max_size=3))
+def test_fingerprints_at_three_bits_share_a_key(fp, bits):
+    other = fp
+    for b in bits:
+        other ^= 1 << b
+    assert set(simhash.golay_keys(fp)) & set(simhash.golay_keys(other))
+
+
+def test_groups_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    # chains of small steps, so that groups reach further than one link
+    fps = {i: _brute_fingerprint(t) for i, t in rows}
+    root = {i: i for i in fps}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(fps)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            if (fps[a] ^ fps[b]).bit_count() <= 3:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in simhash.grouped(docs).collect()}
+    assert got == {i: (f"{fps[i]:016x}", find(i)) for i in ids}
+
+
+def test_long_chains_become_one_group(spark):
+    chain, fp = [], 0
+    for i in range(21):
+        chain.append(fp)
+        for b in range(3 * i, 3 * i + 3):
+            fp |= 1 << b
+    signed = [v - 2**64 if v >> 63 else v for v in chain]
+    edges = simhash.links(spark.createDataFrame([(v,) for v in signed], "fp bigint"))
+    assert edges.count() == 20
+    roots = simhash.groups_of_links(edges).collect()
+    assert len(roots) == 21 and {r["root"] for r in roots} == {min(signed)}
+
+
+def test_search_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_ROWS", 7)
+    monkeypatch.setattr(topk, "VECTOR_ROWS", 40)
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(12, 8))
+    rows = [(i, (base[i % 12] + rng.normal(size=8) * 0.1 * (i % 5)).tolist()) for i in range(300)]
+    rows += [(i, [1.0] * 8) for i in range(300, 360)]  # ties beyond k
+    rows += [(i, [-1.0] * 8) for i in range(360, 363)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = topk.search(frame, topk.every_nth(frame, 20), k=20).collect()
+    v = {i: np.floor(64 * np.array(x)).astype(int) for i, x in rows}
+    want = []
+    for q in range(0, 363, 20):
+        best = sorted((-int(v[q] @ v[c]), c) for c in v if c != q)[:20]
+        want += [(q, r + 1, c, -s) for r, (s, c) in enumerate(best)]
+    assert sorted(map(tuple, got)) == want
+
+
+def test_few_candidates_are_all_given(spark):
+    frame = spark.createDataFrame([(0, [1.0]), (1, [-5.0]), (2, [3.0])], "vec_id long, embedding array<double>")
+    got = topk.search(frame, topk.every_nth(frame)).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 2, 64 * 192), (0, 2, 1, -64 * 320)]
