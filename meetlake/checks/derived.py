@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meetlake.checks import stand_ins
-from meetlake.sources.captures import spread
 
 _COLUMNS = (
     "url", "kind", "fetched_at", "status", "location", "content_type", "country",
@@ -19,7 +18,7 @@ _COLUMNS = (
 
 
 def table(spark, sf, name) -> DataFrame:
-    return spread(stand_ins.table(spark, sf, name))
+    return stand_ins.split(spark, sf, name)
 
 
 def _captures(rows: DataFrame, kind: str, url: str, body, **more: str) -> DataFrame:
@@ -297,3 +296,17 @@ def event_pages(spark, sf) -> DataFrame:
     )
     with_blocks = _captures(customers, "event_blocks", side.format("/getCmsData"), blocks)
     return pages.unionByName(with_panels).unionByName(with_blocks)
+
+
+def probes(spark, sf) -> DataFrame:
+    """A nation as an event whose hosts were probed: one answered, one moved away."""
+    hosts = F.array(*[F.lit(h) for h in stand_ins.SITE.hosts])
+    rows = table(spark, sf, "nation").withColumn("host", F.explode(hosts))
+    return _captures(
+        rows,
+        "probe",
+        "concat('https://', host, '/en/event/', n_nationkey)",
+        F.lit(None).cast("string"),
+        status="CASE WHEN length(host) % 3 = n_nationkey % 3 THEN 200 ELSE 302 END",
+        location="'https://elsewhere.test/'",
+    )

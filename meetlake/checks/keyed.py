@@ -123,7 +123,8 @@ def upsert_composite(spark, sf):
 
 
 def upsert_or_key(spark, sf):
-    """DML-6: match on external id or address, lowest stored id; the id text may change."""
+    """DML-6: match on external id or address, lowest stored id; the id text may change, but
+    never to that of another stored row."""
     batch = table(spark, sf, "customer").selectExpr(*_EITHER)
     rules = {"created": keyed.keep}
     merged = upsert_either(_stored(spark, sf), batch, "external_id", "url", ["seq"], rules)
@@ -272,8 +273,10 @@ SQL = {
     "upsert_or_key": f"""
         WITH st AS (SELECT {', '.join(_STORED)} FROM customer),
             ba AS (SELECT {', '.join(_EITHER)} FROM customer),
-            aimed AS (SELECT ba.*, (SELECT min(id) FROM st WHERE st.external_id = ba.external_id
+            found AS (SELECT ba.*, (SELECT min(id) FROM st WHERE st.external_id = ba.external_id
                 OR (ba.url <> '' AND st.url = ba.url)) AS target FROM ba),
+            aimed AS (SELECT * FROM found WHERE NOT EXISTS (SELECT 1 FROM st
+                WHERE st.external_id = found.external_id AND st.id <> found.target)),
             hit AS (SELECT * FROM aimed WHERE target IS NOT NULL
                 QUALIFY row_number() OVER (PARTITION BY target ORDER BY seq DESC) = 1)
         SELECT st.id AS stored_id, coalesce(hit.external_id, st.external_id) AS external_id,

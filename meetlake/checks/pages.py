@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meetlake.checks import derived
-from meetlake.checks.stand_ins import SITE, table
+from meetlake.checks.stand_ins import SITE, split, table
 from meetlake.functions import urls
 from meetlake.functions.labels import COUNTERS
 from meetlake.operators.hosts import host_of_event
@@ -14,7 +14,7 @@ from meetlake.operators.tally import profile_counters
 from meetlake.plans import academies, profiles
 from meetlake.session import staged
 from meetlake.sources import pages
-from meetlake.sources.captures import answered, spread
+from meetlake.sources.captures import answered
 from meetlake.sources.markup import Pick, Record, field, found_of, records_in
 from meetlake.sources.payloads import unnested
 
@@ -25,7 +25,7 @@ _PARSED = (
 
 
 def _found(spark, sf):
-    return spread(table(spark, sf, "pages")).select("page_id", records_in(F.col("html"), _PARSED).alias("found"))
+    return split(spark, sf, "pages").select("page_id", records_in(F.col("html"), _PARSED).alias("found"))
 
 
 def page_links(spark, sf):
@@ -184,11 +184,11 @@ _ACADEMY = f"""
         concat('https://instagram.com/s', s_suppkey) AS website,
         concat('https://instagram.com/s', s_suppkey) AS instagram,
         CASE WHEN s_suppkey % 2 = 0 THEN 'http://facebook.com/f' ELSE '' END AS facebook,
-        CAST(s_suppkey * 1000 AS INTEGER) AS total_wins, 0 AS total_losses, 0 AS athlete_count,
-        CAST(s_suppkey % 20 AS INTEGER) AS gold_medals, 0 AS silver_medals, 0 AS bronze_medals
+        CAST(s_suppkey * 1000 AS BIGINT) AS total_wins, 0 AS total_losses, 0 AS athlete_count,
+        CAST(s_suppkey % 20 AS BIGINT) AS gold_medals, 0 AS silver_medals, 0 AS bronze_medals
     FROM supplier WHERE s_suppkey % 10 <> 9
 """
-_LOSSES = "CAST((c_custkey % 4 + 1) // 2 AS INTEGER)"
+_LOSSES = "CAST((c_custkey % 4 + 1) // 2 AS BIGINT)"
 _BY = {
     "wins_by_submission": "c_custkey % 9",
     "wins_by_points": "c_custkey % 4",
@@ -206,10 +206,10 @@ _PROFILE = f"""
         concat('https://example.com/en/profile/', c_custkey) AS url,
         CASE c_mktsegment WHEN 'BUILDING' THEN 'Purple belt' WHEN 'MACHINERY' THEN 'New comer'
             WHEN 'FURNITURE' THEN 'Brown 7' END AS belt_rank,
-        {', '.join(f"CAST({v} AS INTEGER) AS {k}" for k, v in _BY.items())},
+        {', '.join(f"CAST({v} AS BIGINT) AS {k}" for k, v in _BY.items())},
         CAST(CASE WHEN c_custkey % 3 > 0 THEN c_custkey % 3 WHEN {_WON} > 0 THEN {_WON} ELSE 0 END
-            AS INTEGER) AS total_wins,
-        CAST(CASE WHEN {_LOSSES} > 0 THEN {_LOSSES} WHEN {_LOST} > 0 THEN {_LOST} END AS INTEGER)
+            AS BIGINT) AS total_wins,
+        CAST(CASE WHEN {_LOSSES} > 0 THEN {_LOSSES} WHEN {_LOST} > 0 THEN {_LOST} END AS BIGINT)
             AS total_losses
     FROM customer
 """
@@ -253,7 +253,7 @@ SQL = {
         WITH ta AS ({_tally_sql()}),
         st AS (SELECT c_custkey + 1 AS id, CAST(c_custkey * 2 AS STRING) AS external_id,
             CASE WHEN c_custkey % 4 > 0 THEN '' ELSE 'black' END AS belt_rank,
-            CAST(c_custkey % 3 AS INTEGER) AS n FROM customer),
+            CAST(c_custkey % 3 AS BIGINT) AS n FROM customer),
         chosen AS (SELECT id FROM st WHERE belt_rank = '' OR n = 0 ORDER BY id LIMIT 60 OFFSET 5),
         ba AS (SELECT p.* FROM ({_PROFILE}) p JOIN st ON st.external_id = p.external_id
             WHERE st.id IN (SELECT id FROM chosen))

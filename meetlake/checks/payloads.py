@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meetlake.checks import derived
-from meetlake.checks.stand_ins import SITE, stand_in, table, with_stand_ins
+from meetlake.checks.stand_ins import SITE, split, stand_in, table, with_stand_ins
 from meetlake.checks.tallies import counters_sql
 from meetlake.functions import numbers, text, urls
 from meetlake.operators import runs, tally
 from meetlake.plans import event_athletes, event_details, listings, profiles
 from meetlake.session import staged
 from meetlake.sources import payloads
-from meetlake.sources.captures import frontier, spread
+from meetlake.sources.captures import frontier
 from meetlake.sources.pages import page_links
 
 _FLAT = (
@@ -155,7 +155,7 @@ def event_props(spark, sf):
     quoted = F.concat(F.lit('{"organizer": {"name": "'), "event_type", F.lit('"}, "location_city": "c"}'))
     doc = payloads.open_object(F.when(F.col("event_id") % 3 == 0, quoted).otherwise(nested))
     fields = payloads.panel_fields(doc)
-    return spread(table(spark, sf, "events")).select(
+    return split(spark, sf, "events").select(
         "event_id",
         payloads.text_of(F.try_variant_get(F.try_parse_json(props), "$.k", "variant")).alias("k"),
         text.first_filled(fields["organizer_name"]).alias("organizer"),
@@ -228,9 +228,9 @@ _FLAT_SQL = f"""
         concat('F', u, CASE WHEN u % 2 = 1 THEN ' M ' ELSE ' ' END, o_orderstatus) AS full_name,
         CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE o_orderpriority END AS nationality,
         concat('N', o_orderkey % 25) AS country_code,
-        CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE CAST(o_orderkey % 50 + 1950 AS INTEGER) END
+        CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE CAST(o_orderkey % 50 + 1950 AS BIGINT) END
             AS birth_year,
-        CAST(o_orderkey % 60 AS INTEGER) AS age,
+        CAST(o_orderkey % 60 AS BIGINT) AS age,
         CASE WHEN o_orderkey % 3 = 0 THEN ''
             ELSE concat(CASE group_pos WHEN 0 THEN 'Club ' ELSE 'Dojo ' END, o_orderkey % 50) END
             AS academy_name,
@@ -240,7 +240,7 @@ _FLAT_SQL = f"""
         CASE group_pos WHEN 0 THEN o_orderstatus ELSE '' END AS rank,
         CASE group_pos WHEN 0 THEN '-60 kg' ELSE '' END AS weight_class,
         o_totalprice AS actual_weight,
-        CASE WHEN o_orderkey % 2 = 1 THEN CAST(o_orderkey % 16 AS INTEGER) ELSE 0 END AS seed,
+        CASE WHEN o_orderkey % 2 = 1 THEN CAST(o_orderkey % 16 AS BIGINT) ELSE 0 END AS seed,
         (o_orderdate, concat('https://example.com/en/event/', o_orderkey, '/participants'),
             group_pos, reg_pos) AS seen
     FROM (SELECT *, o_custkey + reg_pos AS u

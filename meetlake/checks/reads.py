@@ -44,7 +44,7 @@ def athletes_by_country(spark, sf):
 def athletes_deep_page(spark, sf):
     athletes, _ = _athletes(spark, sf)
     paging = Paging.of(8, 100)
-    by = [F.desc("total_wins"), F.asc("id")]
+    by = ["-total_wins", "id"]
     return reads.deep_slice(athletes, by, paging.offset, paging.limit).select(*_ATHLETE)
 
 

@@ -70,6 +70,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def split(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as if it came in as many files as there are cores.
+
+    Driver tables are single files of one row group, so one task would read all bodies; a
+    stored table has splits of its own and needs no such step.
+    """
+    return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
+
+
 def stand_in(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, *columns = _STAND_INS[name]
     return table(spark, sf_dir, source).selectExpr(*columns)

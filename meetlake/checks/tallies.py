@@ -9,6 +9,7 @@ from meetlake.functions.labels import COUNTERS, METHODS
 from meetlake.operators import reads, tally
 from meetlake.operators.lookup import lookup
 from meetlake.operators.reads import Paging
+from meetlake.session import staged
 
 _OWNER = "l_suppkey"
 
@@ -30,13 +31,16 @@ def match_tally(spark, sf):
 
 
 def tally_page(spark, sf):
-    """Second page of owners by wins, with the owner's country and the count of all."""
-    tallies = match_tally(spark, sf).withColumn("id", F.col(_OWNER))
-    paging = Paging.of(2, 20)
+    """First page of owners by wins, with the owner's country and the count of all.
+
+    The tally is paged and counted, so it is staged.
+    """
+    tallies = staged(match_tally(spark, sf).withColumn("id", F.col(_OWNER)), "tally")
+    paging = Paging.of(1, 20)
     page = reads.page_of(tallies, "total_wins", paging)
     owners = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), "s_name", "s_nationkey")
     nations = table(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
-    total = table(spark, sf, "lineitem").agg(F.countDistinct(_OWNER)).scalar()
+    total = tallies.agg(F.count("*")).scalar()
     return (
         page.join(owners, "id", "left")
         .join(nations, "s_nationkey", "left")
@@ -48,7 +52,7 @@ def totals_from_breakdown(spark, sf):
     """Totals hidden for owners with an odd key, then filled from the breakdown."""
     tallies = match_tally(spark, sf)
     hidden = F.when(F.col(_OWNER) % 3 == 0, F.lit(0)).when(
-        F.col(_OWNER) % 3 == 1, F.lit(None).cast("int")
+        F.col(_OWNER) % 3 == 1, F.lit(None).cast("bigint")
     )
     for total in ("total_wins", "total_losses"):
         tallies = tallies.withColumn(
@@ -96,9 +100,9 @@ def counters_sql(flag: str = "is_winner") -> str:
     """Ten counters from rows (flag, method)."""
     columns = []
     for side, test in (("wins", flag), ("losses", f"NOT {flag}")):
-        columns.append(f"CAST(count(CASE WHEN {test} THEN 1 END) AS INTEGER) AS total_{side}")
+        columns.append(f"CAST(count(CASE WHEN {test} THEN 1 END) AS BIGINT) AS total_{side}")
         columns += [
-            f"CAST(count(CASE WHEN {test} AND method = '{m}' THEN 1 END) AS INTEGER) AS {side}_by_{m}"
+            f"CAST(count(CASE WHEN {test} AND method = '{m}' THEN 1 END) AS BIGINT) AS {side}_by_{m}"
             for m in METHODS
         ]
     return ", ".join(columns)
@@ -130,8 +134,8 @@ SQL = {
     "match_tally": _TALLY,
     "tally_page": f"""
         SELECT l_suppkey AS id, total_wins, total_losses, s_name, n_name,
-            (SELECT count(DISTINCT l_suppkey) FROM lineitem) AS total_owners
-        FROM (SELECT * FROM ({_TALLY}) ORDER BY total_wins DESC, l_suppkey LIMIT 20 OFFSET 20)
+            (SELECT count(*) FROM ({_TALLY})) AS total_owners
+        FROM (SELECT * FROM ({_TALLY}) ORDER BY total_wins DESC, l_suppkey LIMIT 20)
         LEFT JOIN supplier ON s_suppkey = l_suppkey
         LEFT JOIN nation ON n_nationkey = s_nationkey""",
     "totals_from_breakdown": f"""

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meetlake.checks.stand_ins import SITE, table
+from meetlake.checks.stand_ins import SITE, split, table
 from meetlake.functions import labels, numbers, places, text, urls
-from meetlake.sources.captures import spread
 
 
 def _documents(spark, sf):
-    return spread(table(spark, sf, "documents"))
+    return split(spark, sf, "documents")
 
 
 def category_parts(spark, sf):
@@ -274,9 +273,9 @@ SQL = {
         FROM documents""",
     "document_numbers": """
         SELECT doc_id,
-            TRY_CAST(nullif(regexp_extract(text, '[0-9]+'), '') AS INTEGER) AS first_in_text,
-            CAST(regexp_extract(format('{:,}', n_chars), '[0-9]+') AS INTEGER) AS first_int,
-            CAST(n_chars AS INTEGER) AS comma_int, 0 AS no_number
+            TRY_CAST(nullif(regexp_extract(text, '[0-9]+'), '') AS BIGINT) AS first_in_text,
+            CAST(regexp_extract(format('{:,}', n_chars), '[0-9]+') AS BIGINT) AS first_int,
+            CAST(n_chars AS BIGINT) AS comma_int, 0::BIGINT AS no_number
         FROM documents""",
     "document_slugs": """
         SELECT doc_id, md5(regexp_replace(
@@ -329,7 +328,7 @@ SQL = {
         FROM events""",
     "birth_year": """
         SELECT c_custkey, CASE WHEN c_custkey % 4 < 2 THEN 0
-            ELSE CAST(c_custkey % 60 + 1950 AS INTEGER) END AS birth_year
+            ELSE CAST(c_custkey % 60 + 1950 AS BIGINT) END AS birth_year
         FROM customer""",
     "flexible_numbers": """
         SELECT p_partkey, CASE WHEN p_size % 5 > 2 THEN p_retailprice END AS number,

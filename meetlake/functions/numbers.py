@@ -12,14 +12,15 @@ _DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def first_int(text: Column) -> Column:
-    """First run of digits, null if none (FN-6). "1,234" gives 1: kept on purpose."""
+    """First run of digits, null if none or beyond 64 bits (FN-6). "1,234" gives 1: kept on
+    purpose."""
     digits = F.nullif(F.regexp_extract(text, r"[0-9]+", 0), F.lit(""))
-    return digits.try_cast("int")
+    return digits.try_cast("bigint")
 
 
 def strict_int(text: Column) -> Column:
     """Whole text as an integer, null otherwise; a plain cast would accept ' 7 '."""
-    return F.when(text.rlike(_INTEGER), text.try_cast("int"))
+    return F.when(text.rlike(_INTEGER), text.try_cast("bigint"))
 
 
 def comma_int(text: Column) -> Column:

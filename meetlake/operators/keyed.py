@@ -41,13 +41,21 @@ def is_small(frame: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return size is not None and size <= limit
 
 
+def content_hash(rows: DataFrame, columns: list[str]) -> Column:
+    """A number made of the values of columns, to order rows that are equal otherwise."""
+    kinds = dict(rows.dtypes)
+    plain = [c for c in columns if "map<" not in kinds[c] and "variant" not in kinds[c]]
+    return F.xxhash64(*plain) if plain else F.lit(0)
+
+
 def last_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key in the given order (AGG-7).
+    """The last row of each key in the given order (AGG-7), ties by content.
 
     An aggregation, so each task sends at most one row per key, however hot the key.
     """
     values = [c for c in rows.columns if c not in keys]
-    picked = F.max_by(F.struct(*values), F.struct(*order)).alias("_row")
+    turn = F.struct(*order, content_hash(rows, values).alias("_tie"))
+    picked = F.max_by(F.struct(*values), turn).alias("_row")
     return rows.groupBy(*keys).agg(picked).select(*keys, "_row.*").select(*rows.columns)
 
 
@@ -133,7 +141,11 @@ def upsert(
 
 
 def with_new_ids(
-    incoming: DataFrame, stored: DataFrame, keys: list[str], id_column: str = "id"
+    incoming: DataFrame,
+    stored: DataFrame,
+    keys: list[str],
+    id_column: str = "id",
+    id_table: DataFrame | None = None,
 ) -> DataFrame:
     """Batch with dense ids for its new keys, null for stored ones.
 
@@ -141,6 +153,7 @@ def with_new_ids(
     before it end: no task sees more than its buckets, and the only thing broadcast is
     one row per bucket. The ids depend on the keys alone, so a retried task gives the
     same ones. The new keys are staged, as finding them goes over all stored keys.
+    `id_table` is the whole table where `stored` is only a part of it that holds the keys.
     """
     fresh = staged(not_stored(incoming.select(*keys), stored, keys), "new-keys")
     fresh = fresh.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(ID_BUCKETS)).cast("int"))
@@ -148,7 +161,8 @@ def with_new_ids(
     # at most ID_BUCKETS rows meet in this window
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    top = stored.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
+    whole = stored if id_table is None else id_table
+    top = whole.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
     in_bucket = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
     numbered = (
         fresh.join(F.broadcast(starts), "_bucket")

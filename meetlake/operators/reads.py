@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from meetlake.operators.lookup import lookup
 from meetlake.operators.runs import last_completed
-from meetlake.session import ensure_checkpoint_dir
+from meetlake.session import ensure_checkpoint_dir, staged
 
-SHALLOW_ROWS = 100_000
+SHALLOW_ROWS = 1000
 
 
 def _whole(value, default: int) -> int:
@@ -27,6 +27,10 @@ class Paging:
     page: int = 1
     limit: int = 20
 
+    def __post_init__(self):
+        if self.page < 1 or not 1 <= self.limit <= 100:
+            raise ValueError(f"no such page: {self.page} of {self.limit} rows")
+
     @classmethod
     def of(cls, page=None, limit=None) -> Paging:
         number, size = _whole(page, 0), _whole(limit, 0)
@@ -45,6 +49,10 @@ class EnrichmentBatch:
     offset: int = 0
     only_missing: bool = True
 
+    def __post_init__(self):
+        if self.offset < 0 or not 1 <= self.limit <= 200:
+            raise ValueError(f"no such batch: {self.limit} rows from {self.offset}")
+
     @classmethod
     def of(cls, limit=None, offset=None, only_missing=None) -> EnrichmentBatch:
         size = _whole(limit, 0)
@@ -66,25 +74,37 @@ def matching(table: DataFrame, **equal: str | None) -> DataFrame:
     return table
 
 
-def ordered_slice(rows: DataFrame, by: list[Column], offset: int, limit: int) -> DataFrame:
-    """Rows offset … offset+limit in the given order, which must have no ties.
+def in_order(by: list[str]) -> list[Column]:
+    """Order columns; a leading "-" means highest first."""
+    return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in by]
+
+
+def ordered_slice(rows: DataFrame, by: list[str], offset: int, limit: int) -> DataFrame:
+    """Rows offset … offset+limit in the order of `in_order(by)`, which must have no ties.
 
     Near the top this is Spark's top-k: each task keeps offset+limit rows. A deep slice
-    would make one task hold all rows before it, so there the rows are range-sorted over
-    all tasks once, counted per range, and only the ranges that meet the slice are read.
+    would make one task hold all rows before it, so there see `deep_slice`.
     """
     if offset + limit <= SHALLOW_ROWS:
-        return rows.orderBy(*by).offset(offset).limit(limit)
+        return rows.orderBy(*in_order(by)).offset(offset).limit(limit)
     return deep_slice(rows, by, offset, limit)
 
 
-def deep_slice(rows: DataFrame, by: list[Column], offset: int, limit: int) -> DataFrame:
-    """`ordered_slice` for a deep offset.
+def deep_slice(rows: DataFrame, by: list[str], offset: int, limit: int) -> DataFrame:
+    """`ordered_slice` for a deep offset; rows have a unique `id`.
 
-    The sorted rows go to the reliable checkpoint folder, so that both passes see the same
-    ranges even if executors are lost. The driver gets one count per range.
+    Only the order columns and the id are range-sorted over all tasks and counted per
+    range; the ids of the slice, at most `limit`, are then sent to the rows. The sorted keys
+    go to the reliable checkpoint folder, so that both passes see the same ranges even if
+    executors are lost. The driver gets one count per range.
     """
     ensure_checkpoint_dir(rows.sparkSession)
+    columns = dict.fromkeys([*(c.removeprefix("-") for c in by), "id"])
+    found = _slice_of_keys(rows.select(*columns), in_order(by), offset, limit).select("id")
+    return rows.join(F.broadcast(found), "id", "left_semi").orderBy(*in_order(by))
+
+
+def _slice_of_keys(rows: DataFrame, by: list[Column], offset: int, limit: int) -> DataFrame:
     ranged = (
         rows.repartitionByRange(*by)
         .withColumn("_range", F.spark_partition_id())
@@ -111,8 +131,7 @@ def deep_slice(rows: DataFrame, by: list[Column], offset: int, limit: int) -> Da
 
 def page_of(table: DataFrame, by: str, paging: Paging) -> DataFrame:
     """One page, highest `by` first, ties by id (SRT-1)."""
-    order = [F.desc(by), F.asc("id")]
-    return ordered_slice(table, order, paging.offset, paging.limit)
+    return ordered_slice(table, [f"-{by}", "id"], paging.offset, paging.limit)
 
 
 def academies_page(
@@ -130,7 +149,7 @@ def athletes_page(
 ) -> DataFrame:
     """Page of athletes with their academies; at most a page of rows is joined."""
     kept = matching(athletes, country_code=country, academy_external_id=academy_id)
-    page = with_academy(page_of(kept, "total_wins", paging), academies)
+    page = with_academy_of_few(page_of(kept, "total_wins", paging), academies)
     return page.orderBy(F.desc("total_wins"), "id")
 
 
@@ -162,13 +181,37 @@ def with_academy(athletes: DataFrame, academies: DataFrame) -> DataFrame:
     return joined.select(*athletes.columns, "academy")
 
 
+def with_academy_of_few(athletes: DataFrame, academies: DataFrame) -> DataFrame:
+    """`with_academy` for at most a page of athletes.
+
+    Their keys go to the scan of the academies, so the parent table is not shuffled, and
+    what is left of it is no more than a page.
+    """
+    few = staged(athletes, "page")
+    keys = few.select(F.col("academy_external_id").alias("external_id"))
+    parents = academies.join(F.broadcast(keys), "external_id", "left_semi").select(
+        F.col("external_id").alias("academy_external_id"),
+        F.struct(*academies.columns).alias("academy"),
+    )
+    joined = few.join(F.broadcast(parents), "academy_external_id", "left")
+    return joined.select(*athletes.columns, "academy")
+
+
 def first_by(table: DataFrame, column: str, value) -> DataFrame:
     """The row with the lowest id among those with the value; no row if none (SRT-3)."""
     return table.filter(F.col(column) == value).orderBy("id").limit(1)
 
 
 def athlete_by_id(athletes: DataFrame, academies: DataFrame, external_id: str) -> DataFrame:
-    return with_academy(first_by(athletes, "external_id", external_id), academies)
+    return with_academy_of_few(first_by(athletes, "external_id", external_id), academies)
+
+
+def details_of_event(details: DataFrame, event_id: str = "", event_url: str = "") -> DataFrame:
+    """The details of an event by its id or, if none is given, by its address; one row at most."""
+    if not (event_id or event_url):
+        raise ValueError("event_id or event_url is required")
+    column, value = ("event_id", event_id) if event_id else ("event_url", event_url)
+    return first_by(details, column, value)
 
 
 def academy_with_athletes(
@@ -205,7 +248,7 @@ def enrichment_batch(athletes: DataFrame, batch: EnrichmentBatch = EnrichmentBat
     be smaller than its limit.
     """
     chosen = needs_enrichment(athletes) if batch.only_missing else athletes
-    cut = ordered_slice(chosen, [F.asc("id")], batch.offset, batch.limit)
+    cut = ordered_slice(chosen, ["id"], batch.offset, batch.limit)
     return cut.filter((F.col("external_id") != "") | (F.col("profile_url") != ""))
 
 

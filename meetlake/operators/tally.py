@@ -35,9 +35,9 @@ def counted(fights: DataFrame, by: list[str]) -> DataFrame:
     counts = []
     for side, won in _SIDES:
         mine = F.col("is_winner") == won
-        counts.append(F.count_if(mine).cast("int").alias(f"total_{side}"))
+        counts.append(F.count_if(mine).alias(f"total_{side}"))
         counts += [
-            F.count_if(mine & (F.col("method") == m)).cast("int").alias(f"{side}_by_{m}")
+            F.count_if(mine & (F.col("method") == m)).alias(f"{side}_by_{m}")
             for m in METHODS
         ]
     return fights.groupBy(*by).agg(*counts)
@@ -102,17 +102,20 @@ def page_tallies(decoded: DataFrame) -> DataFrame:
 def profile_tally(pages: DataFrame) -> DataFrame:
     """Tally per athlete over the pages of its match list.
 
-    The newest capture of each page counts. An athlete has no tally if one of its pages
-    was refused or a page it links to was never captured: the counts would be partial.
+    The newest capture of each page counts. An athlete has no tally if the first page of its
+    list (its address has no query) was not captured, if one of its pages was refused or a
+    page it links to was never captured: the counts would be partial.
     """
     page = F.struct("next_url", F.col("fault").isNull().alias("sound"), *COUNTERS)
+    turn = F.struct("fetched_at", F.xxhash64("next_url", "fault", *COUNTERS).alias("tie"))
     newest = (
         pages.groupBy("external_id", "url")
-        .agg(F.max_by(page, "fetched_at").alias("page"))
+        .agg(F.max_by(page, turn).alias("page"))
         .select("external_id", "url", "page.*")
     )
     totals = newest.groupBy("external_id").agg(
-        F.bool_and("sound").alias("sound"), *[F.sum(c).cast("int").alias(c) for c in COUNTERS]
+        (F.bool_and("sound") & F.bool_or(~F.contains("url", F.lit("?")))).alias("sound"),
+        *[F.sum(c).alias(c) for c in COUNTERS]
     )
     links = newest.select("external_id", F.col("next_url").alias("url"))
     open_links = links.filter(F.col("url").isNotNull()).join(
@@ -161,7 +164,7 @@ def _legend_counters(rows: Column, side: str) -> dict[str, Column]:
     methods may fall through to the second: a fold over the rows in order.
     """
     order = ("submission", "decision", "points", "dq")
-    start = F.struct(*[F.lit(None).cast("int").alias(m) for m in order])
+    start = F.struct(*[F.lit(None).cast("bigint").alias(m) for m in order])
 
     def names(label, method):
         hit = F.contains(label, F.lit(method))

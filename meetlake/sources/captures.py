@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meetlake.session import estimated_bytes
 from meetlake.sources.schemas import CAPTURES
 
 KINDS = (
@@ -46,20 +45,6 @@ def refusal(decode_fault: Column) -> Column:
     ).when(decode_fault, F.lit("payload does not fit its schema"))
 
 
-SPREAD_BYTES = 4 * 1024 * 1024
-
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows of a small input over all cores, any other input as it is.
-
-    Reading a body costs far more than moving it, so an input of few splits is worth a
-    shuffle while it holds less than `SPREAD_BYTES` per core. A larger one has its splits.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    size = None if rows.isStreaming else estimated_bytes(rows)
-    return rows.repartition(cores) if size is not None and size < cores * SPREAD_BYTES else rows
-
-
 def frontier(links: DataFrame, captures: DataFrame) -> DataFrame:
     """Linked addresses not captured yet, each once (JON-6). Both sides: `url`.
 

@@ -233,15 +233,15 @@ def event_athletes(unnested: DataFrame, site: Site) -> DataFrame:
         words("country").alias("nationality"),
         upper_code(words("cn")).alias("country_code"),
         numbers.birth_year(words("birth")).alias("birth_year"),
-        text.or_zero(F.col("r.age")).cast("int").alias("age"),
+        text.or_zero(F.col("r.age")).alias("age"),
         words("clubName").alias("academy_name"),
         words("affiliationName").alias("affiliation_name"),
         urls.profile_url(user_id, site).alias("profile_url"),
         words("profile_image").alias("image_url"),
         "category.*",
         numbers.first_weight(weights).alias("actual_weight"),
-        text.or_zero(F.col("r.seed_position")).cast("int").alias("seed"),
-        F.lit(0).alias("ranking"),
+        text.or_zero(F.col("r.seed_position")).alias("seed"),
+        F.lit(0).cast("bigint").alias("ranking"),
         words("gender").alias("gender"),
     )
     # The record must have an id and a name (FLT-5); as both always hold text, this

@@ -55,17 +55,17 @@ _STAMPS = "scraped_at timestamp, created_at timestamp, updated_at timestamp"
 ACADEMIES = f"""
     id bigint, external_id string, name string, slug string, country string,
     country_code string, logo_url string, cover_url string, bio string, website string,
-    instagram string, facebook string, total_wins int, total_losses int,
-    athlete_count int, gold_medals int, silver_medals int, bronze_medals int, {_STAMPS}
+    instagram string, facebook string, total_wins bigint, total_losses bigint,
+    athlete_count bigint, gold_medals bigint, silver_medals bigint, bronze_medals bigint, {_STAMPS}
 """
 ATHLETES = f"""
     id bigint, external_id string, first_name string, last_name string, full_name string,
     academy_external_id string, nationality string, country_code string,
-    belt_rank string, age int, gender string, profile_url string, avatar_url string,
-    birth_year int, image_url string, affiliation_name string, total_wins int,
-    wins_by_submission int, wins_by_points int, wins_by_decision int, wins_by_dq int,
-    total_losses int, losses_by_submission int, losses_by_points int,
-    losses_by_decision int, losses_by_dq int, {_STAMPS}
+    belt_rank string, age bigint, gender string, profile_url string, avatar_url string,
+    birth_year bigint, image_url string, affiliation_name string, total_wins bigint,
+    wins_by_submission bigint, wins_by_points bigint, wins_by_decision bigint, wins_by_dq bigint,
+    total_losses bigint, losses_by_submission bigint, losses_by_points bigint,
+    losses_by_decision bigint, losses_by_dq bigint, {_STAMPS}
 """
 EVENTS = f"""
     id bigint, external_id string, name string, event_url string, image_url string,
@@ -82,12 +82,12 @@ EVENT_DETAILS = f"""
 EVENT_REGISTRATIONS = """
     id bigint, athlete_id bigint, event_id string, event_name string, division string,
     age_category string, rank string, weight_class string, actual_weight double,
-    seed int, ranking int, event_card_url string, registration_date timestamp,
+    seed bigint, ranking bigint, event_card_url string, registration_date timestamp,
     created_at timestamp, updated_at timestamp
 """
 RUN_LOG = """
     run_id bigint, job_type string, status string, event_time timestamp,
-    items_scraped int, error_message string
+    items_scraped bigint, error_message string
 """
 
 ENTITY_TABLES = {
@@ -96,12 +96,21 @@ ENTITY_TABLES = {
     "events": EVENTS,
     "event_details": EVENT_DETAILS,
     "event_registrations": EVENT_REGISTRATIONS,
+    "event_hosts": "event_id string, host string",
     "runs": RUN_LOG,
 }
 
 REGISTRATION_KEY = (
     "athlete_id", "event_id", "division", "age_category", "rank", "weight_class",
 )
+# Columns whose hash names the bucket of a row; event details are matched on two columns.
+ENTITY_BUCKET_KEYS = {
+    "academies": ("external_id",),
+    "athletes": ("external_id",),
+    "events": ("event_url",),
+    "event_registrations": ("athlete_id",),
+    "event_hosts": ("event_id",),
+}
 ENTITY_KEYS = {
     "academies": ("external_id",),
     "athletes": ("external_id",),

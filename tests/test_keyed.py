@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from meetlake.operators import keyed, reads
 from meetlake.operators.lookup import lookup
 from meetlake.operators.hosts import host_of_event
-from meetlake.plans.event_details import upsert_either
+from meetlake.plans.event_details import held_back, upsert_either
 from meetlake.site import Site
 
 SCHEMA = "id bigint, k string, v int, w string"
@@ -73,7 +73,7 @@ def test_either_key(spark):
     )
     batch = spark.createDataFrame(
         [
-            ("e2", "u1", "both", 1),  # meets rows 1 and 2: the lower one
+            ("e2", "u1", "both", 1),  # would give row 1 the key of row 2: held back
             ("x9", "u2", "by url", 2),  # the key text changes
             ("e3", "", "empty url meets no url", 3),
             ("e8", "u8", "new", 4),
@@ -82,9 +82,10 @@ def test_either_key(spark):
         "key string, url string, name string, seq int",
     )
     merged = upsert_either(stored, batch, "key", "url", ["seq"], {})
+    assert [r.key for r in held_back(batch, stored, "key", "url").collect()] == ["e2"]
     got = rows(merged, "id")
     assert got[:3] == [
-        (1, "e2", "u1", "both"), (2, "x9", "u2", "by url"), (3, "e3", "", "empty url meets no url"),
+        (1, "e1", "u1", "s"), (2, "x9", "u2", "by url"), (3, "e3", "", "empty url meets no url"),
     ]
     assert sorted(r[1] for r in got[3:]) == ["e8", "e9"] and {r[0] for r in got[3:]} == {4, 5}
 
@@ -110,10 +111,10 @@ def test_lookup_of_a_hot_key_is_whole(spark):
 
 def test_deep_slice_equals_top_k(spark):
     frame = spark.range(5000).select("id", (F.col("id") % 7).alias("v"))
-    by = [F.desc("v"), F.asc("id")]
+    by = ["-v", "id"]
     for offset, limit in ((0, 5), (713, 100), (4990, 50), (6000, 10)):
         deep = [tuple(r) for r in reads.deep_slice(frame, by, offset, limit).collect()]
-        top = [tuple(r) for r in frame.orderBy(*by).offset(offset).limit(limit).collect()]
+        top = [tuple(r) for r in frame.orderBy(*reads.in_order(by)).offset(offset).limit(limit).collect()]
         assert deep == top
 
 
