@@ -11,10 +11,11 @@ from golden import (
 )
 from pyspark.sql import functions as F
 import json
+import random
 
 from meetlake import Site
 from meetlake.operators import reads, runs
-from meetlake.plans import event_athletes
+from meetlake.plans import event_athletes, event_details
 from meetlake.plans.ingest import ingest
 from meetlake.sources.schemas import ENTITY_TABLES
 from meetlake.sources.store import Store
@@ -257,3 +258,116 @@ def test_repeats_in_a_stream(spark, tmp_path):
         .trigger(availableNow=True).start().awaitTermination()
     )
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def all_kinds(spark):
+    """Captures of two owners of each kind, with pages that need each other."""
+    club = "Gracie / São 1"
+    won = {"is_winner": True, "outcome": "Submission"}
+
+    def matches(n, next_url=None):
+        return {
+            "data": [{"registrations": [{"matches": [won] * n}]}], "next_page_url": next_url
+        }
+
+    late = T0 + timedelta(hours=2)
+    path = f"{BASE}/en/profile/1/events"
+    return [
+        capture("academy_list", f"{BASE}/en/club", "<a href='/en/club/9'>x</a>", country="BR"),
+        capture("academy", f"{BASE}/en/club/9", ACADEMY),
+        capture("event_list", f"{BASE}/en/events/upcoming", listing(EVENTS)),
+        capture("event", f"{BASE}/en/event/7?a=1", event_page(json.dumps(LD))),
+        capture("event_panels", f"{BASE}/en/event/7/getInfoPanelsData", {"location_name": "Hall"}),
+        capture("event_blocks", f"{BASE}/en/event/7/getCmsData", {"infoPageBlocks": [1]}),
+        capture("participants", URL, participants(
+            group(GROUP, registration(1, clubName=club, age=20), registration(2)))),
+        capture("participants", URL, participants(
+            group(GROUP, registration(1, clubName=club, age=99999999999))), at=late),
+        capture("profile", f"{BASE}/en/profile/1", PROFILE),
+        capture("profile", f"{BASE}/en/profile/1", "<p>nothing</p>", at=late),
+        capture("profile_events", path, matches(4, "/en/profile/1/events?page=2")),
+        capture("profile_events", path + "?page=2", matches(30)),
+        capture("profile_events", f"{BASE}/en/profile/2/events?page=2", matches(8)),
+        capture("profile", f"{BASE}/en/profile/2", PROFILE),
+        capture("probe", "https://adcc.example.com/en/event/7", None, status=404),
+        capture("probe", "https://adcc.example.com/en/event/7", None, at=late),
+    ]
+
+
+TABLES = ("athletes", "academies", "events", "event_details", "event_registrations", "event_hosts")
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_any_cut_into_batches_gives_the_same_tables(spark, tmp_path, seed):
+    rows = all_kinds(spark)
+    whole = Store(spark, str(tmp_path / "whole"), buckets=2)
+    ingest(whole, captures(spark, *rows), SITE, "one", NOW)
+    one = table(whole, "athletes")["1"]
+    assert (one.total_wins, one.age, one.academy_external_id) == (34, 99999999999, "9")
+    assert table(whole, "athletes")["2"].wins_by_submission == 3  # page 2 alone is no tally
+    details = whole.read("event_details").first()
+    assert details.location_name == "Hall" and details.info_page_blocks_json == "[1]"
+
+    rng = random.Random(seed)
+    rng.shuffle(rows)
+    cut = Store(spark, str(tmp_path / "cut"), buckets=2)
+    for i in range(4):
+        ingest(cut, captures(spark, *rows[i::4]), SITE, f"b{i}", NOW + timedelta(hours=i))
+    for name in TABLES:
+        assert comparable(cut, name) == comparable(whole, name), name
+
+
+def test_a_batch_writes_only_what_it_touches(spark, tmp_path):
+    store = Store(spark, str(tmp_path), buckets=8)
+    ingest(store, captures(spark, *all_kinds(spark)), SITE, "one", NOW)
+    before = store.state()["tables"]
+    late = capture("event_list", f"{BASE}/en/events/past", listing(EVENTS[:1]), at=T0 + timedelta(days=1))
+    ingest(store, captures(spark, late), SITE, "two", LATER)
+    after = store.state()["tables"]
+    for name in TABLES:
+        assert (before[name] == after[name]) == (name != "events")
+    changed = [b for b in after["events"] if after["events"][b] != before["events"][b]]
+    assert len(changed) == 1 and len(before["events"]) > 1
+    kept = comparable(store, "events")
+    gone = store.expire(keep=1)
+    assert any("/events/" in g for g in gone)
+    assert comparable(store, "events") == kept and store.is_done("one")
+
+
+def test_running_is_visible_while_a_batch_works(spark, tmp_path, monkeypatch):
+    store, seen = Store(spark, str(tmp_path), buckets=2), []
+    commit = type(store.begin("x")).commit
+
+    def watched(batch):
+        seen.append({(r.job_type, r.status) for r in runs.current_runs(store.read("runs")).collect()})
+        commit(batch)
+
+    monkeypatch.setattr(type(store.begin("x")), "commit", watched)
+    ingest(store, captures(spark, late_listing()), SITE, "one", NOW)
+    assert seen == [set(), {("all", "running")}]
+    done = runs.current_runs(store.read("runs")).collect()
+    assert {(r.job_type, r.status) for r in done} == {("all", "completed"), ("events_past", "completed")}
+
+
+def late_listing():
+    return capture("event_list", f"{BASE}/en/events/past", listing(EVENTS[:1]))
+
+
+def test_a_taken_event_id_goes_to_quarantine(spark, tmp_path):
+    store = Store(spark, str(tmp_path), buckets=2)
+    page = event_page(json.dumps(LD))
+    first = [capture("event", f"{BASE}/en/event/{i}", page) for i in (1, 2)]
+    ingest(store, captures(spark, *first), SITE, "one", NOW)
+    stored = store.read("event_details")
+    moved = stored.limit(1).select(F.lit("2").alias("event_id"), F.lit(f"{BASE}/en/event/1").alias("event_url"))
+    held = event_details.held_back(moved, stored, "event_id", "event_url")
+    assert [r.event_id for r in held.collect()] == ["2"]
+
+
+def test_details_of_an_event(spark, store):
+    details = store.read("event_details")
+    by_id = reads.details_of_event(details, "7").first()
+    assert by_id.location_city == "Rio"
+    assert reads.details_of_event(details, event_url=by_id.event_url).first() == by_id
+    with pytest.raises(ValueError):
+        reads.details_of_event(details)

@@ -109,6 +109,41 @@ def test_lookup_of_a_hot_key_is_whole(spark):
     assert "_salt" in parts and "approx_top_k" in parts
 
 
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    rows = spark.range(20_000).select(
+        F.lit("hot").alias("k"), (F.col("id") % 3).alias("v"), F.create_map(F.lit("a"), F.lit(1)).alias("m")
+    )
+    table = spark.createDataFrame([("hot", 1)], "k string, found int")
+    joined = lookup(rows, table, "k", "left", hot_rows=100, table_is_small=False, rows_are_small=False)
+    assert joined.filter("found = 1").count() == 20_000
+    salts = rows.select(F.pmod(F.monotonically_increasing_id(), F.lit(64))).distinct().count()
+    assert salts == 64
+
+
+def test_a_page_does_not_shuffle_the_parents(spark):
+    athletes = spark.range(500).select(
+        "id", F.col("id").cast("string").alias("external_id"), F.lit("N").alias("country_code"),
+        (F.col("id") % 50).cast("string").alias("academy_external_id"), F.col("id").alias("total_wins"),
+    )
+    academies = spark.range(100).select("id", F.col("id").cast("string").alias("external_id"), F.lit("n").alias("name"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = reads.with_academy_of_few(athletes.limit(5), academies)
+        plan = few._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+        assert all(r.academy.name == "n" for r in few.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("bad", [(0, 20), (1, 0), (1, 101)])
+def test_pages_out_of_bounds_are_refused(bad):
+    with pytest.raises(ValueError):
+        reads.Paging(*bad)
+    with pytest.raises(ValueError):
+        reads.EnrichmentBatch(201)
+
+
 def test_deep_slice_equals_top_k(spark):
     frame = spark.range(5000).select("id", (F.col("id") % 7).alias("v"))
     by = ["-v", "id"]
