@@ -42,7 +42,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from meetlake.session import shared_folder
+from meetlake.session import shared_folder, staged
 
 REVISIT_BYTES = 100
 FILE_BYTES = 128 * 1024 * 1024
@@ -315,13 +315,15 @@ def archived(
         F.monotonically_increasing_id().alias("row"),
     )
     turn = F.struct(F.col("page_id").isNull().alias("n"), "page_id", "row")
-    # one row per payload that repeats: partial aggregation takes the hot ones
-    firsts = (
+    # One row per payload that repeats: partial aggregation takes the hot ones. It is staged,
+    # so that its true size decides whether it goes to the pages or the pages are shuffled.
+    firsts = staged(
         rows.filter(F.octet_length("body") >= REVISIT_BYTES)
         .groupBy("digest")
         .agg(F.min(turn).alias("first"), F.count("*").alias("n"))
         .filter("n > 1")
-        .select("digest", "first")
+        .select("digest", "first"),
+        "warc-firsts",
     )
     known = rows.join(firsts, "digest", "left")
     again = F.col("first").isNotNull() & (F.col("row") != F.col("first.row"))
