@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meetlake.checks import derived
-from meetlake.checks.stand_ins import SITE, split, table
+from meetlake.checks.stand_ins import SITE, split, stamp_days, stamped, stamps_sql, table
 from meetlake.functions import urls
 from meetlake.functions.labels import COUNTERS
 from meetlake.operators.hosts import host_of_event
@@ -83,10 +83,12 @@ def academies_merged(spark, sf):
         F.lit("N").alias("country_code"),
     )
     merged = academies.merge_academies(
-        academies.visited_academies(captures, SITE), stored, F.lit("2026-01-01").cast("timestamp")
+        academies.visited_academies(captures, SITE),
+        stamped(stored),
+        F.lit("2026-01-01").cast("timestamp"),
     )
     top = stored.agg(F.max("id")).scalar()
-    return merged.withColumn("stored_id", F.when(F.col("id") <= top, F.col("id"))).drop("id")
+    return stamp_days(merged).withColumn("stored_id", F.when(F.col("id") <= top, F.col("id"))).drop("id")
 
 
 def profile_fields(spark, sf):
@@ -238,7 +240,8 @@ SQL = {
         st AS (SELECT s_suppkey + 1 AS stored_id, CAST(s_suppkey * 2 AS STRING) AS external_id
             FROM supplier)
         SELECT stored_id, external_id, coalesce(name, 'old') AS name,
-            coalesce(country, 'N') AS country_code
+            coalesce(country, 'N') AS country_code,
+            {stamps_sql("stored_id IS NULL", "name IS NOT NULL")}
         FROM st FULL JOIN ba USING (external_id)""",
     "profile_fields": f"SELECT * EXCLUDE (external_id) FROM ({_PROFILE})",
     "profiles_merged": f"""

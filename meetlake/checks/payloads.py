@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meetlake.checks import derived
-from meetlake.checks.stand_ins import SITE, split, stand_in, table, with_stand_ins
+from meetlake.checks.stand_ins import (
+    SITE,
+    split,
+    stamp_days,
+    stamped,
+    stamps_sql,
+    stand_in,
+    table,
+    with_stand_ins,
+)
 from meetlake.checks.tallies import counters_sql
 from meetlake.functions import numbers, text, urls
 from meetlake.operators import runs, tally
@@ -73,11 +82,11 @@ def athletes_from_events(spark, sf):
     """DML-3 with AGG-7 and JON-3: payloads into stored athletes."""
     merged = event_athletes.merge_athletes(
         _flat(spark, sf),
-        _stored_athletes(spark, sf),
+        stamped(_stored_athletes(spark, sf)),
         stand_in(spark, sf, "academies"),
         F.lit("2026-01-01").cast("timestamp"),
     )
-    return merged.drop("id", "image_url", "avatar_url")
+    return stamp_days(merged).drop("id", "image_url", "avatar_url")
 
 
 def registrations_from_events(spark, sf):
@@ -97,11 +106,11 @@ def registrations_from_events(spark, sf):
     merged = event_athletes.merge_registrations(
         staged(_flat(spark, sf), "flat"),
         _stored_athletes(spark, sf),
-        stored,
+        stamped(stored),
         F.lit("2026-01-01").cast("timestamp"),
     )
     top = stored.agg(F.max("id")).scalar()
-    return merged.withColumn("stored_id", F.when(F.col("id") <= top, F.col("id"))).drop("id")
+    return stamp_days(merged).withColumn("stored_id", F.when(F.col("id") <= top, F.col("id"))).drop("id")
 
 
 def first_weight(spark, sf):
@@ -195,9 +204,9 @@ def merged_events(spark, sf):
         "id", "external_id", "event_url", "country_code", "event_type", F.lit("old").alias("name")
     )
     listed = listings.listed_events(derived.listings(spark, sf), SITE)
-    merged = listings.merge_events(listed, stored, F.lit("2026-01-01").cast("timestamp"))
+    merged = listings.merge_events(listed, stamped(stored), F.lit("2026-01-01").cast("timestamp"))
     top = stored.agg(F.max("id")).scalar()
-    return merged.withColumn("stored_id", F.when(F.col("id") <= top, F.col("id"))).drop("id")
+    return stamp_days(merged).withColumn("stored_id", F.when(F.col("id") <= top, F.col("id"))).drop("id")
 
 
 def fetched_details(spark, sf):
@@ -319,7 +328,8 @@ SQL = {
             coalesce(b.link, s.academy_external_id, '') AS academy_external_id,
             coalesce(b.country_code, s.country_code) AS country_code,
             CASE WHEN s.external_id IS NULL THEN '' ELSE s.belt_rank END AS belt_rank,
-            coalesce(s.total_wins, 0) AS total_wins, coalesce(b.age, 0) AS age
+            coalesce(s.total_wins, 0) AS total_wins, coalesce(b.age, 0) AS age,
+            {stamps_sql("s.external_id IS NULL", "b.external_id IS NOT NULL")}
         FROM athletes s FULL JOIN found b ON s.external_id = b.external_id""",
         "athletes",
         "academies",
@@ -337,7 +347,8 @@ SQL = {
             FROM orders)
         SELECT stored_id, athlete_id, event_id, division, age_category, rank, weight_class,
             coalesce(event_name, 'old') AS event_name, coalesce(actual_weight, 0) AS actual_weight,
-            coalesce(seed, 0) AS seed
+            coalesce(seed, 0) AS seed,
+            {stamps_sql("stored_id IS NULL", "event_name IS NOT NULL")}
         FROM st FULL JOIN ba USING (athlete_id, event_id, division, age_category, rank, weight_class)""",
     "first_weight": """
         SELECT l_orderkey, l_partkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN l_quantity
@@ -375,7 +386,8 @@ SQL = {
         SELECT s.id AS stored_id, coalesce(b.external_id, s.external_id) AS external_id,
             coalesce(b.event_url, s.event_url) AS event_url,
             coalesce(b.country_code, s.country_code) AS country_code,
-            coalesce(b.event_type, s.event_type) AS event_type, coalesce(b.name, 'old') AS name
+            coalesce(b.event_type, s.event_type) AS event_type, coalesce(b.name, 'old') AS name,
+            {stamps_sql("s.id IS NULL", "b.event_url IS NOT NULL")}
         FROM meets s FULL JOIN ba b ON s.event_url = b.event_url""",
         "meets",
     ),

@@ -7,6 +7,7 @@ start from the same rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meetlake.site import Site
 
@@ -79,6 +80,24 @@ def split(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return table(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism)
 
 
+def stamped(stored: DataFrame) -> DataFrame:
+    """Stored rows written on 2020-01-01."""
+    old = F.lit("2020-01-01").cast("timestamp")
+    return stored.withColumns({c: old for c in ("created_at", "updated_at")})
+
+
+def stamp_days(merged: DataFrame) -> DataFrame:
+    """The days of creation and update in place of their times."""
+    days = {"created_on": F.to_date("created_at"), "updated_on": F.to_date("updated_at")}
+    return merged.withColumns(days).drop("created_at", "updated_at")
+
+
+def stamps_sql(is_new: str, is_given: str) -> str:
+    """What `stamp_days` must show of a batch of 2026-01-01."""
+    return f"""CASE WHEN {is_new} THEN DATE '2026-01-01' ELSE DATE '2020-01-01' END AS created_on,
+        CASE WHEN {is_given} THEN DATE '2026-01-01' ELSE DATE '2020-01-01' END AS updated_on"""
+
+
 def stand_in(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, *columns = _STAND_INS[name]
     return table(spark, sf_dir, source).selectExpr(*columns)
