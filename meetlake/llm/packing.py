@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -35,8 +36,8 @@ from tokenizers import Tokenizer
 from meetlake.session import staged
 
 CAPACITY, END_ID = 4096, 2
-BUCKET_ROWS = 20_000
-CACHED_WORDS = 400_000
+BUCKET_ROWS = 5000
+CACHED_WORDS = 1_600_000
 
 
 class WordIds:
@@ -56,21 +57,25 @@ class WordIds:
         return a if need <= len(a) else np.concatenate([a, np.zeros(max(need, len(a)), a.dtype)])
 
     def _add(self, words: list[bytes]) -> None:
+        """Encode new words in one call and tell their ids apart by where they stand."""
         texts = [w.decode("utf-8", "replace") for w in words]
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        n, first = len(words), len(self.place)
-        sizes = np.fromiter(map(len, ids), np.int64, n)
-        total = int(sizes.sum())
+        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        n, first, total = len(words), len(self.place), len(found.ids)
+        begins = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        at = np.fromiter((a for a, _ in found.offsets), np.int64, total)
+        sizes = np.bincount(np.searchsorted(begins, at, "right") - 1, minlength=n)
         self.start, self.size = self._grown(self.start, first + n), self._grown(self.size, first + n)
         self.flat = self._grown(self.flat, self.used + total)
         self.size[first : first + n] = sizes
         self.start[first : first + n] = self.used + np.cumsum(sizes) - sizes
-        self.flat[self.used : self.used + total] = [i for e in ids for i in e]
+        self.flat[self.used : self.used + total] = found.ids
         self.used += total
         self.place.update(zip(words, range(first, first + n)))
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "replace").split()
+        data = (text or "").encode("utf-8", "replace")
+        # the vocabulary has no capitals; only special strings are told apart by them
+        words = data.split() if b"<|" in data else data.lower().split()
         try:
             at = list(map(self.place.__getitem__, words))
         except KeyError:
@@ -88,6 +93,12 @@ class WordIds:
         return self.flat[np.repeat(self.start[at] - ends + size, size) + np.arange(total)]
 
 
+@cache
+def word_ids(path: str) -> WordIds:
+    """One per worker process, so that tasks that follow each other share the words."""
+    return WordIds(path)
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_id="doc_id", text="text"):
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens."""
     names = ("start", "length", "ids_crc32", "doc_tokens")
@@ -95,7 +106,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_id="do
     schema = StructType([rows.schema["doc_id"], *[StructField(n, LongType()) for n in names]])
 
     def cut(batches):
-        encode = WordIds(tokenizer)
+        encode = word_ids(tokenizer)
         for batch in batches:
             of, out = [], []
             for i, t in enumerate(batch.column("text").to_pylist()):

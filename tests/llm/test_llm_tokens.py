@@ -23,7 +23,7 @@ SF_DIR = "/root/testdata/sf0.001"
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
-    "", " ", "a  b", "a   b\n\n c", "x \n y", "<|endoftext|>a <|endoftext|> b", "it's they'll  ",
+    "", " ", "a  b", "a   b\n\n c", "x \n y", "<|endoftext|>a <|endoftext|> b", "<|ENDOFTEXT|> A", "it's they'll  ",
     " é　漢字 🙂🙂", "a\x1cb \x85 c", "tab\there\n\n\n  z", "ΣΑΣ ΣΣ.", "İI", " lead", "trail ",
     "\n\nx", "0123 45678,90", "e\u0301 \u0301a",
 ]
