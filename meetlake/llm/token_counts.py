@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -163,14 +164,24 @@ class PrefixCounter:
             pass
         if len(chunks) >= self.cached:
             chunks.clear()
-        for w in words[1:]:
-            n = chunks.get(w)
-            if n is None:
-                n = sum(map(self._part_total, self._parts(" " + w)))
-                if "\n" not in w:  # ends of lines join words that hardly meet again
-                    chunks[w] = n
-            total += n
-        return total
+        new = [w for w in dict.fromkeys(words[1:]) if w not in chunks]
+        found = self._chunk_totals(new)
+        # ends of lines join words that hardly meet again
+        chunks.update((w, n) for w, n in found.items() if "\n" not in w)
+        return total + sum(found[w] if w in found else chunks[w] for w in words[1:])
+
+    def _chunk_totals(self, words: list[str]) -> dict[str, int]:
+        """Tokens of " word" chunks, cut in one call; chunks do not change each other's parts."""
+        totals, ends, end = [0] * len(words), [], 0
+        for w in words:
+            end += len(w) + 1
+            ends.append(end)
+        k = 0
+        for part, (begin, _) in self.cut.pre_tokenize_str(" " + " ".join(words)):
+            while begin >= ends[k]:
+                k += 1
+            totals[k] += self._part_total(part)
+        return dict(zip(words, totals))
 
     def count(self, text: str | None) -> int:
         """Tokens of a whole text."""
@@ -180,17 +191,21 @@ class PrefixCounter:
         return total
 
 
+@cache
+def prefix_counter(path: str) -> PrefixCounter:
+    """One per worker process, so that tasks that follow each other share what is cached."""
+    return PrefixCounter(path)
+
+
 def counted(
     docs: DataFrame, tokenizer: str, limit: int = LIMIT, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Per document: doc_id, n_bytes, n_tokens, over_limit."""
-    held: list[PrefixCounter] = []
 
     @F.pandas_udf(LongType())
     def tokens(texts: pd.Series) -> pd.Series:
-        if not held:
-            held.append(PrefixCounter(tokenizer))
-        return pd.Series([held[0].count(t) for t in texts], dtype="int64")
+        count = prefix_counter(tokenizer).count
+        return pd.Series([count(t) for t in texts], dtype="int64")
 
     full = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
