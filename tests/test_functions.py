@@ -50,7 +50,7 @@ def test_text(spark):
 
 def test_numbers(spark):
     cases = on(
-        numbers.first_int, ("1,234", 1), ("n 12 x 3", 12), ("none", None), ("99999999999", None)
+        numbers.first_int, ("1,234", 1), ("n 12 x 3", 12), ("none", None), ("99999999999", 99999999999), ("9" * 20, None)
     )
     cases += on(numbers.comma_int, (" 1,234 ", 1234), ("x7", 0), ("+7", 7), ("7.5", 0), ("", 0))
     cases += on(
