@@ -12,7 +12,7 @@ at most one bit always share an index: two at distance one have different parity
 looks at the even one. With three errors over three segments (pigeonhole), either
 some segment is equal and another differs in at most one bit, or all three differ in
 one each. So the keys are (bits of one segment, index of another) for all ordered pairs of
-segments, and (index, index) of the first two. Distinct fingerprints that share a key are
+segments, and the three indices together: 33 and 36 bits, about 50 keys. Distinct fingerprints that share a key are
 joined and verified; no key is dropped or capped, and copies meet as one fingerprint.
 
 Groups: links between distinct fingerprints are contracted by alternating large-star and
@@ -125,7 +125,7 @@ def golay_keys(fp: int) -> list[int]:
         if i != j
         for index in near[j]
     ]
-    keys += [(15 << 40) | (a << 12) | b for a in near[0] for b in near[1]]
+    keys += [(15 << 40) | (a << 24) | (b << 12) | c for a in near[0] for b in near[1] for c in near[2]]
     return keys
 
 
