@@ -6,9 +6,11 @@ encoded together, stays that pair. So one pass over a part of a text gives, for
 prefix, its last token and its exact number of tokens, count(i) = count(j) + 1. Counts
 for truncation and budgets are then look-ups: nothing is encoded again.
 
-A text is cut into parts as the vocabulary's own pre-tokenizer cuts it, and parts are counted
-once per task while they are cached. Strings of special tokens in a text count as one
-token each, as is the library's default.
+A text is cut into parts as the vocabulary's own pre-tokenizer cuts it. Parts of up to
+`CACHED_SYMBOLS` are counted once per worker while they are cached, and share the states of
+prefixes they begin with. A longer part (an unbroken run) is counted with two numbers per
+symbol and not kept, so memory is linear in its length and caches are bounded in bytes.
+Strings of special tokens in a text count as one token each, as is the library's default.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; repeated rows give repeated
 rows; texts are counted whole.
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from functools import cache
 
 import numpy as np
@@ -30,6 +33,8 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 LIMIT = 512
 CACHED_PARTS = 250_000
+#: Longest part or word a cache holds.
+CACHED_SYMBOLS = 64
 
 
 class PrefixCounter:
@@ -43,7 +48,11 @@ class PrefixCounter:
             for i, m in enumerate(spec["model"]["merges"])
         }
         self.vocab = spec["model"]["vocab"]
-        self.longest = max(map(len, self.vocab))
+        ends: dict[str, set[int]] = {}
+        for token in self.vocab:
+            ends.setdefault(token[-2:], {1}).add(len(token))
+        #: Lengths of tokens by their last two symbols, longest first.
+        self.lengths = {end: sorted(n, reverse=True) for end, n in ends.items()}
         self.cut = Tokenizer.from_file(path).pre_tokenizer or ByteLevel(add_prefix_space=False)
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
@@ -87,7 +96,7 @@ class PrefixCounter:
     def state(self, prefix: str) -> tuple[str, int]:
         """(last token, tokens) of a prefix of a part, in the vocabulary's byte symbols.
 
-        Prefixes are kept, so parts that begin alike share the work.
+        Prefixes are kept, so parts that begin alike share the work; only for short parts.
         """
         states, known = self.states, len(prefix)
         while prefix[:known] not in states:
@@ -97,9 +106,9 @@ class PrefixCounter:
             states[""] = "", 0
             known = 0
         for i in range(known + 1, len(prefix) + 1):
-            for j in range(max(0, i - self.longest), i):
-                token = prefix[j:i]
-                if token in self.vocab:
+            for n in self.lengths.get(prefix[max(0, i - 2) : i], (1,)):
+                j = i - n
+                if j >= 0 and (token := prefix[j:i]) in self.vocab:
                     last, count = states[prefix[:j]]
                     if self.follows(last, token):
                         states[prefix[:i]] = token, count + 1
@@ -108,15 +117,32 @@ class PrefixCounter:
                 raise ValueError("the vocabulary lacks a byte")
         return states[prefix]
 
+    def _counts(self, part: str) -> array:
+        """Tokens of every prefix of one part of any length; nothing is kept."""
+        starts, counts, vocab, lengths = array("q", [0]), array("q", [0]), self.vocab, self.lengths
+        for i in range(1, len(part) + 1):
+            for n in lengths.get(part[max(0, i - 2) : i], (1,)):
+                j = i - n
+                if j < 0 or (token := part[j:i]) not in vocab:
+                    continue
+                if self.follows(part[starts[j] : j], token):
+                    starts.append(j)
+                    counts.append(counts[j] + 1)
+                    break
+            else:
+                raise ValueError("the vocabulary lacks a byte")
+        return counts
+
     def part_counts(self, part: str) -> list[int]:
         """Tokens of every prefix of one part."""
-        self.state(part)
-        return [self.state(part[:i])[1] for i in range(len(part) + 1)]
+        return self._counts(part).tolist()
 
     def _parts(self, text: str) -> list[str]:
         return [p for p, _ in self.cut.pre_tokenize_str(text)]
 
     def _part_total(self, part: str) -> int:
+        if len(part) > CACHED_SYMBOLS:
+            return self._counts(part)[-1]
         n = self.totals.get(part)
         if n is None:
             if len(self.totals) >= self.cached:
@@ -167,7 +193,9 @@ class PrefixCounter:
         new = [w for w in dict.fromkeys(words[1:]) if w not in chunks]
         found = self._chunk_totals(new)
         # ends of lines join words that hardly meet again
-        chunks.update((w, n) for w, n in found.items() if "\n" not in w)
+        chunks.update(
+            (w, n) for w, n in found.items() if len(w) <= CACHED_SYMBOLS and "\n" not in w
+        )
         return total + sum(found[w] if w in found else chunks[w] for w in words[1:])
 
     def _chunk_totals(self, words: list[str]) -> dict[str, int]:

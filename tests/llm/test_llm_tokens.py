@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 from itertools import product
@@ -65,6 +66,37 @@ def test_every_prefix_of_a_part_is_exact(counter, byte_library):
         assert got == want
 
 
+def _runs(n):
+    """Unbroken runs of n characters: letters, digits, marks, and text without blanks or marks."""
+    rng = np.random.default_rng(9)
+    return {
+        name: "".join(rng.choice(list(signs), n))
+        for name, signs in (("letters", "etaoinshrdlu"), ("digits", "0123456789"), ("marks", "-=#*!?."), ("cjk", "的一是不了人"))
+    } | {"same letter": "a" * n, "same mark": "-" * n, "words": ("thetionher" * n)[:n]}
+
+
+@pytest.mark.parametrize("name", _runs(1))
+def test_long_runs_equal_the_library(byte_library, name):
+    run, one = _runs(200_000)[name], token_counts.PrefixCounter(BYTES)
+    assert one.count(f"a {run} b") == len(byte_library.encode(f"a {run} b", add_special_tokens=False).ids)
+    assert max(map(len, [*one.states, *one.totals, *one.chunks])) <= token_counts.CACHED_SYMBOLS
+
+
+def test_memory_is_linear_in_a_run(counter):
+    tracemalloc.start()
+    counter.count(_runs(10_000)["letters"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5_000_000  # all prefixes as strings: 50 MB and more
+
+
+def test_prefixes_of_a_long_run_are_exact(counter, byte_library):
+    run = _runs(3_000)["letters"]
+    got = counter.part_counts(run)
+    for i in (1, 63, 64, 65, 500, 2_999, 3_000):
+        assert got[i] == len(byte_library.encode(run[:i], add_special_tokens=False).ids)
+
+
 def test_budget_questions(counter):
     text = "the thing of heatherington\nand more"
     pairs = counter.prefix_counts(text)
