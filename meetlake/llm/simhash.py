@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
+from meetlake.llm import jaccard
 from meetlake.llm.common import free_name
 from meetlake.session import staged
 
@@ -174,10 +175,10 @@ def groups_of_links(edges: DataFrame) -> DataFrame:
     return roots.union(now.select(F.col("a").alias("node"), F.col("a").alias("root"))).distinct()
 
 
-def _groups(rows: DataFrame) -> DataFrame:
+def _groups(rows: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """(fp, root, component_id) of all fingerprints in staged rows (doc_id, fp)."""
     firsts = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
-    roots = groups_of_links(links(firsts))
+    roots = groups_of_links(links(firsts) if edges is None else edges)
     named = firsts.join(roots, F.col("fp") == F.col("node"), "left")
     named = staged(named.select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -193,21 +194,38 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     )
 
 
-def kept(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def kept(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    words: int = SHINGLE_WORDS,
+    similarity: float | None = None,
+) -> DataFrame:
     """One row of each group, with all its columns: that of the group's smallest id.
 
-    A null id never wins over an id; of several rows with the winning id (repeated rows) the
-    one of smallest text hash stays.
+    With a `similarity` links are those of the texts' sets of shingles of `words` words, at that
+    Jaccard similarity or more, instead of those of fingerprints. A null id never wins over an
+    id; of several rows with the winning id (repeated rows) the one of smallest text hash stays.
     """
+    if similarity is None and words != SHINGLE_WORDS:
+        raise ValueError(f"fingerprints are of {SHINGLE_WORDS} words")
     fp, row = free_name(docs, "simhash_fp"), free_name(docs, "simhash_row")
-    marked = docs.withColumn(fp, fingerprints(text))
+    if similarity is None:
+        marked = docs.withColumn(fp, F.struct(fingerprints(text).alias("fp")))
+    else:
+        marked = docs.withColumn(fp, jaccard.signatures(text, words))
     marked = staged(marked.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
     rows = marked.select(
         F.col(doc_id).alias("doc_id"),
-        F.col(fp).alias("fp"),
+        F.col(fp)["fp"].alias("fp"),
         F.struct(F.col(doc_id).isNull(), doc_id, F.xxhash64(text), row).alias("turn"),
         F.col(row).alias("row"),
     )
-    turns = rows.join(_groups(rows).select("fp", "root"), "fp").groupBy("root")
+    edges = None
+    if similarity is not None:
+        firsts = rows.groupBy("fp").agg(F.min("row").alias(row)).select(row)
+        nodes = marked.join(firsts, row, "left_semi").select(f"{fp}.*", F.col(text).alias("text"))
+        edges = jaccard.links(nodes, words, similarity, groups_of_links)
+    turns = rows.join(_groups(rows, edges).select("fp", "root"), "fp").groupBy("root")
     winners = turns.agg(F.min_by("row", "turn").alias(row)).select(row)
     return marked.join(winners, row, "left_semi").select(*docs.columns)

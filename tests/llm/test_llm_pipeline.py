@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -38,6 +40,42 @@ def test_stages_work_on_what_is_left(spark):
     assert packed.agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= 4096
 
 
+def _grams(text):
+    words = (text or "").encode().lower().split()
+    n = min(5, len(words))
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
+
+
+def test_dedup_groups_equal_brute_force_of_five_words(spark):
+    rng = random.Random(8)
+    lexicon = [f"w{i}" for i in range(400)]
+    texts = []
+    for _ in range(12):
+        base = [rng.choice(lexicon) for _ in range(150)]
+        texts.append(base)
+        for edits in (1, 1, 2, 3, 4, 6, 12):
+            near = list(texts[-1] if edits == 2 else base)
+            for at in rng.sample(range(150), edits):
+                near[at] = "changed"
+            texts.append(near)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    rows += [(200, "One two"), (201, "one TWO"), (202, None), (203, ""), (204, "one")]
+    sets = {i: _grams(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    for a, x in sets.items():
+        for b, y in sets.items():
+            if a < b and (x == y or len(x & y) >= 0.8 * len(x | y)):
+                p, q = find(a), find(b)
+                root[max(p, q)] = min(p, q)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dict(corpus_pipeline.STAGES)["dedup"](spark, docs, SF_DIR)
+    assert {r["doc_id"] for r in got.collect()} == {find(i) for i in sets}
+
+
 def test_run_gives_the_last_stage(spark):
     assert corpus_pipeline.run(spark, SF_DIR).columns == [
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
