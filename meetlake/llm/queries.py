@@ -1,4 +1,4 @@
-"""Queries op1 to op10 over the driver tables, and SQL where it can state the result."""
+"""Queries op1 to op13 over the driver tables, and SQL where it can state the result."""
 
 from __future__ import annotations
 
@@ -9,12 +9,15 @@ from meetlake.llm import (
     mixing,
     packing,
     quality,
+    secrets,
     simhash,
+    spelling,
     token_counts,
     topk,
     toxicity,
     urls,
     warc,
+    whitening,
 )
 from meetlake.llm.common import table
 
@@ -73,9 +76,24 @@ def op10_media(spark, sf_dir):
     return media.measured(media.stored(table(spark, sf_dir, "documents")))
 
 
+def op11_spelling(spark, sf_dir):
+    """Every word with the word it is a spelling variant of."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark, sf_dir):
+    """All embeddings on their eight leading components, whitened."""
+    return whitening.transformed(table(spark, sf_dir, "embeddings"))
+
+
+def op13_secrets(spark, sf_dir):
+    """Secrets in every document, weak ones where other parts of a credential are near."""
+    return secrets.scanned(table(spark, sf_dir, "documents"))
+
+
 _ALL = (
     op1_quality, op2_toxicity, op3_simhash, op4_topk, op5_warc, op6_mixing, op7_packing, op8_urls,
-    op9_token_counts, op10_media,
+    op9_token_counts, op10_media, op11_spelling, op12_whitening, op13_secrets,
 )
 QUERIES = {q.__name__: q for q in _ALL}
-SQL = {"op4_topk": topk.SQL, "op5_warc": warc.SQL, "op6_mixing": mixing.SQL}
+SQL = {"op4_topk": topk.SQL, "op5_warc": warc.SQL, "op6_mixing": mixing.SQL, "op13_secrets": secrets.SQL}
