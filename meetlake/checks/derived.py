@@ -147,6 +147,43 @@ def profile_events(spark, sf) -> DataFrame:
     )
 
 
+def linked_lists(spark, sf) -> DataFrame:
+    """A customer as an athlete whose page list changed or does not end well.
+
+    By remainder of the key: a list that shrank to its first page, one cut anew at other
+    pages, one that runs in a circle, one with a page missing, and long sound ones.
+    """
+    pages = F.expr(
+        """CASE c_custkey % 5
+        WHEN 0 THEN array((0, 1, 0), (1, NULL, 0), (0, NULL, 1))
+        WHEN 1 THEN array((0, 1, 0), (1, 2, 0), (2, NULL, 0), (0, 3, 1), (3, 4, 1), (4, NULL, 1))
+        WHEN 2 THEN array((0, 1, 0), (1, 2, 0), (2, 1, 0), (3, 2, 0))
+        WHEN 3 THEN array((0, 1, 0), (1, 9, 0))
+        ELSE transform(sequence(0, CAST(c_custkey % 23 AS INT)),
+            p -> (p, CASE WHEN p < c_custkey % 23 THEN p + 1 END, 0)) END"""
+    )
+    rows = table(spark, sf, "customer").select("c_custkey", F.explode(pages).alias("l"))
+    rows = rows.selectExpr("c_custkey", "l.col1 AS page", "l.col2 AS next", "l.col3 AS day")
+    n = ((F.col("c_custkey") + 2 * F.col("page") + F.col("day")) % 7).cast("int")
+    matches = F.transform(
+        F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")),
+        lambda i: F.struct(
+            ((i + F.col("page")) % 2 == 0).alias("is_winner"), F.lit("Submission").alias("outcome")
+        ),
+    )
+    path = F.concat(F.lit("/en/profile/"), "c_custkey", F.lit("/events?page="), F.col("next"))
+    events = F.array(F.struct(F.array(F.struct(matches.alias("matches"))).alias("registrations")))
+    body = F.struct(events.alias("data"), path.alias("next_page_url"))
+    return _captures(
+        rows,
+        "profile_events",
+        "concat('https://example.com/en/profile/', c_custkey, '/events', "
+        "CASE WHEN page > 0 THEN concat('?page=', page) ELSE '' END)",
+        F.to_json(body, {"ignoreNullFields": "false"}),
+        fetched_at="timestamp_seconds(1700000000 + 86400 * day)",
+    )
+
+
 _MATCHES = "array<struct<is_winner:boolean,outcome:string>>"
 _REGISTRATIONS = f"array<struct<matches:{_MATCHES}>>"
 

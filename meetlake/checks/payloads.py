@@ -138,6 +138,13 @@ def profile_tally(spark, sf):
     return tally.profile_tally(staged(matches, "match-pages"))
 
 
+def tally_of_linked_pages(spark, sf):
+    """SRC-2, JON-6, JON-8: of lists that changed only the pages linked now are summed."""
+    matches = profiles.match_pages(derived.linked_lists(spark, sf), SITE)
+    rows = tally.profile_tally(staged(matches, "match-pages"))
+    return rows.select("external_id", "total_wins", "wins_by_submission", "total_losses")
+
+
 def next_page_frontier(spark, sf):
     """JON-6: next pages that were not captured."""
     captured = derived.profile_events(spark, sf)
@@ -223,7 +230,7 @@ QUERIES = {
     for f in (
         unnest_registrations, payload_refusals, batch_counters, field_check,
         athletes_from_events, registrations_from_events, first_weight, profile_matches,
-        profile_tally, next_page_frontier, link_frontier, event_props, page_script_value,
+        profile_tally, tally_of_linked_pages, next_page_frontier, link_frontier, event_props, page_script_value,
         listed_events, merged_events, fetched_details,
     )
 }
@@ -363,6 +370,31 @@ SQL = {
             FROM customer c LEFT JOIN ({_MATCH_ROWS}) m
             ON m.external_id = CAST(c.c_custkey AS STRING) AND m.outcome NOT IN ('Bye', 'walkover'))
         WHERE c_custkey % 10 <> 9 AND c_custkey % 12 > 0 GROUP BY external_id""",
+    "tally_of_linked_pages": """
+        WITH RECURSIVE l AS (
+            SELECT c_custkey AS c, v.p, v.next, v.day
+            FROM customer, (VALUES (0, 0, 1, 0), (0, 1, NULL, 0), (0, 0, NULL, 1),
+                (1, 0, 1, 0), (1, 1, 2, 0), (1, 2, NULL, 0), (1, 0, 3, 1), (1, 3, 4, 1), (1, 4, NULL, 1),
+                (2, 0, 1, 0), (2, 1, 2, 0), (2, 2, 1, 0), (2, 3, 2, 0),
+                (3, 0, 1, 0), (3, 1, 9, 0)) v(k, p, next, day)
+            WHERE c_custkey % 5 = v.k
+            UNION ALL
+            SELECT c_custkey, p, CASE WHEN p < c_custkey % 23 THEN p + 1 END, 0
+            FROM customer, range(23) r(p) WHERE c_custkey % 5 = 4 AND p <= c_custkey % 23),
+        newest AS (SELECT c, p, arg_max((next, day), day) AS at FROM l GROUP BY c, p),
+        reached AS (
+            SELECT DISTINCT c, 0::BIGINT AS p FROM l
+            UNION
+            SELECT r.c, n.at[1]::BIGINT FROM reached r JOIN newest n ON n.c = r.c AND n.p = r.p
+            WHERE n.at[1] IS NOT NULL),
+        counted AS (
+            SELECT r.c, n.p, (r.c + 2 * n.p + n.at[2]) % 7 AS n
+            FROM reached r LEFT JOIN newest n ON n.c = r.c AND n.p = r.p)
+        SELECT CAST(c AS STRING) AS external_id,
+            CAST(sum((n + p % 2) // 2) AS BIGINT) AS total_wins,
+            CAST(sum((n + p % 2) // 2) AS BIGINT) AS wins_by_submission,
+            CAST(sum(n - (n + p % 2) // 2) AS BIGINT) AS total_losses
+        FROM counted GROUP BY c HAVING count(*) = count(p)""",
     "next_page_frontier": """
         SELECT concat('https://example.com/en/profile/', c_custkey, '/events?page=2') AS url
         FROM customer WHERE c_custkey % 12 = 0""",

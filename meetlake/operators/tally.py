@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from meetlake.functions import labels, numbers, text
 from meetlake.functions.labels import COUNTERS, METHODS
-from meetlake.sources.captures import frontier
+from meetlake.session import staged
 
 _SIDES = (("wins", True), ("losses", False))
 
@@ -99,33 +99,50 @@ def page_tallies(decoded: DataFrame) -> DataFrame:
     return fights.select(*about, *[text.or_zero(c).alias(n) for n, c in counts.items()])
 
 
+def linked_pages(pages: DataFrame) -> DataFrame:
+    """(external_id, url) of each list's first page and of all that next-page links lead to.
+
+    `pages` has one row per captured page: external_id, url, next_url, fetched_at. The first
+    page is the one whose address has no query (the newest, if there are several). Links are
+    followed by doubling: each round joins the pages reached with the links of its length, and
+    the links with themselves. So rounds grow with the logarithm of the longest list, a cycle
+    ends when nothing new is reached, and no list is gathered in one place. A link to a
+    page that was not captured is followed to that page and no further.
+    """
+    key = ["external_id", "url"]
+    linked = pages.filter(F.col("next_url").isNotNull())
+    hops = linked.select(*key, F.col("next_url").alias("to"))
+    first = F.max_by("url", F.struct("fetched_at", "url")).alias("url")
+    plain = pages.filter(~F.contains("url", F.lit("?")))
+    reached, n = plain.groupBy("external_id").agg(first), None
+    while True:
+        ahead = reached.join(hops, key).select("external_id", F.col("to").alias("url"))
+        reached = staged(reached.union(ahead).distinct(), "linked-pages")
+        before, n = n, reached.count()
+        if n == before:
+            return reached
+        further = hops.select("external_id", F.col("url").alias("to"), F.col("to").alias("end"))
+        hops = hops.join(further, ["external_id", "to"])
+        hops = staged(hops.select(*key, F.col("end").alias("to")), "page-links")
+
+
 def profile_tally(pages: DataFrame) -> DataFrame:
     """Tally per athlete over the pages of its match list.
 
-    The newest capture of each page counts. An athlete has no tally if the first page of its
-    list (its address has no query) was not captured, if one of its pages was refused or a
-    page it links to was never captured: the counts would be partial.
+    The newest capture of each page counts, and only pages the list links, see `linked_pages`.
+    An athlete has no tally if the first page of its list was not captured, or if a linked page
+    was refused or never captured: the counts would be partial.
     """
-    page = F.struct("next_url", F.col("fault").isNull().alias("sound"), *COUNTERS)
+    page = F.struct("next_url", "fetched_at", F.col("fault").isNull().alias("sound"), *COUNTERS)
     turn = F.struct("fetched_at", F.xxhash64("next_url", "fault", *COUNTERS).alias("tie"))
-    newest = (
-        pages.groupBy("external_id", "url")
-        .agg(F.max_by(page, turn).alias("page"))
-        .select("external_id", "url", "page.*")
-    )
-    totals = newest.groupBy("external_id").agg(
-        (F.bool_and("sound") & F.bool_or(~F.contains("url", F.lit("?")))).alias("sound"),
-        *[F.sum(c).alias(c) for c in COUNTERS]
-    )
-    links = newest.select("external_id", F.col("next_url").alias("url"))
-    open_links = links.filter(F.col("url").isNotNull()).join(
-        frontier(links, newest), "url", "left_semi"
-    )
-    return (
-        totals.filter("sound")
-        .drop("sound")
-        .join(open_links.select("external_id").distinct(), "external_id", "left_anti")
+    newest = pages.groupBy("external_id", "url").agg(F.max_by(page, turn).alias("page"))
+    newest = staged(newest.select("external_id", "url", "page.*"), "newest-pages")
+    listed = linked_pages(newest).join(newest, ["external_id", "url"], "left")
+    totals = listed.groupBy("external_id").agg(
+        F.bool_and(F.coalesce("sound", F.lit(False))).alias("sound"),
+        *[F.sum(c).alias(c) for c in COUNTERS],
     )
+    return totals.filter("sound").drop("sound")
 
 
 def totals_from_breakdown(counters: dict[str, Column]) -> dict[str, Column]:

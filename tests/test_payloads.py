@@ -158,7 +158,7 @@ def test_match_tally(spark):
         page(1, 2, two, ""),
         page(1, 2, fights((True, "Points")), at=T0 - timedelta(days=1)),  # older capture
         page(2, 1, one, f"{BASE}/en/profile/2/events?page=2"),  # next page never captured
-        page(3, 1, one),
+        page(3, 1, one, "/en/profile/3/events?page=2"),
         page(3, 2, two, status=500),  # refused page
         page(4, 1, None),
     )
@@ -171,6 +171,54 @@ def test_match_tally(spark):
     assert sum(v for k, v in got["4"].items() if k != "external_id") == 0
 
 
+def wins(n):
+    return fights(*[(True, "Points")] * n)
+
+
+def test_only_linked_pages_count(spark):
+    def path(athlete, n):
+        return f"/en/profile/{athlete}/events?page={n}"
+
+    late = T0 + timedelta(days=1)
+    chain = [page(5, n, wins(1), path(5, n + 1) if n < 40 else None) for n in range(1, 41)]
+    got = tallies(
+        spark,
+        # shrunk: the first page no longer links the second
+        page(1, 1, wins(3), path(1, 2)), page(1, 2, wins(2)), page(1, 1, wins(5), at=late),
+        # cut anew: other pages are linked, the old second page was refused later
+        page(2, 1, wins(3), path(2, 2)), page(2, 2, wins(2)), page(2, 2, wins(2), status=500, at=late),
+        page(2, 1, wins(4), path(2, 7), at=late), page(2, 7, wins(6), path(2, 8), at=late),
+        page(2, 8, wins(1), at=late),
+        # in a circle, and linked by a page nothing links
+        page(3, 1, wins(1), path(3, 2)), page(3, 2, wins(1), path(3, 3)),
+        page(3, 3, wins(1), path(3, 2)), page(3, 9, wins(50), path(3, 2)),
+        # to itself; a link that leads to another athlete's page is open
+        page(4, 1, wins(2), "/en/profile/4/events"), page(6, 1, wins(2), path(5, 2)),
+        # a late first page without its second one any more
+        page(7, 2, wins(2)),
+        *chain,
+    )
+    assert {k: v["total_wins"] for k, v in got.items()} == {"1": 5, "2": 11, "3": 3, "4": 2, "5": 40}
+
+
+def test_rounds_grow_with_the_logarithm_of_a_list(spark, monkeypatch):
+    from meetlake.operators import tally as operators
+
+    rounds, real = [], operators.staged
+
+    def noted(rows, purpose):
+        rounds.append(purpose)
+        return real(rows, purpose)
+
+    monkeypatch.setattr(operators, "staged", noted)
+    rows = [("1", f"u?{i}" if i else "u", f"u?{i + 1}" if i < 999 else None, T0) for i in range(1000)]
+    pages = spark.createDataFrame(
+        rows, "external_id string, url string, next_url string, fetched_at timestamp"
+    )
+    assert operators.linked_pages(pages).count() == 1000
+    assert rounds.count("linked-pages") <= 11 + 1
+
+
 def test_match_rows_give_the_same_tally(spark):
     from meetlake.operators.tally import tally
 
