@@ -153,17 +153,17 @@ def linked_lists(spark, sf) -> DataFrame:
     By remainder of the key: a list that shrank to its first page, one cut anew at other
     pages, one that runs in a circle, one with a page missing, and long sound ones.
     """
-    pages = F.expr(
-        """CASE c_custkey % 5
-        WHEN 0 THEN array((0, 1, 0), (1, NULL, 0), (0, NULL, 1))
-        WHEN 1 THEN array((0, 1, 0), (1, 2, 0), (2, NULL, 0), (0, 3, 1), (3, 4, 1), (4, NULL, 1))
-        WHEN 2 THEN array((0, 1, 0), (1, 2, 0), (2, 1, 0), (3, 2, 0))
-        WHEN 3 THEN array((0, 1, 0), (1, 9, 0))
-        ELSE transform(sequence(0, CAST(c_custkey % 23 AS INT)),
-            p -> (p, CASE WHEN p < c_custkey % 23 THEN p + 1 END, 0)) END"""
+    kind = "array<struct<page: int, next: int, day: int>>"
+    lists = (
+        "array((0, 1, 0), (1, NULL, 0), (0, NULL, 1))",
+        "array((0, 1, 0), (1, 2, 0), (2, NULL, 0), (0, 3, 1), (3, 4, 1), (4, NULL, 1))",
+        "array((0, 1, 0), (1, 2, 0), (2, 1, 0), (3, 2, 0))",
+        "array((0, 1, 0), (1, 9, 0))",
+        "transform(sequence(0, CAST(c_custkey % 23 AS INT)), "
+        "p -> (p, CASE WHEN p < c_custkey % 23 THEN p + 1 END, 0))",
     )
-    rows = table(spark, sf, "customer").select("c_custkey", F.explode(pages).alias("l"))
-    rows = rows.selectExpr("c_custkey", "l.col1 AS page", "l.col2 AS next", "l.col3 AS day")
+    cases = " ".join(f"WHEN {i} THEN CAST({text} AS {kind})" for i, text in enumerate(lists))
+    rows = table(spark, sf, "customer").selectExpr("c_custkey", f"inline(CASE c_custkey % 5 {cases} END)")
     n = ((F.col("c_custkey") + 2 * F.col("page") + F.col("day")) % 7).cast("int")
     matches = F.transform(
         F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>")),
