@@ -145,7 +145,7 @@ def with_new_ids(
     stored: DataFrame,
     keys: list[str],
     id_column: str = "id",
-    id_table: DataFrame | None = None,
+    top: int | None = None,
 ) -> DataFrame:
     """Batch with dense ids for its new keys, null for stored ones.
 
@@ -153,7 +153,7 @@ def with_new_ids(
     before it end: no task sees more than its buckets, and the only thing broadcast is
     one row per bucket. The ids depend on the keys alone, so a retried task gives the
     same ones. The new keys are staged, as finding them goes over all stored keys.
-    `id_table` is the whole table where `stored` is only a part of it that holds the keys.
+    They go on from `top`; without it from the largest id in `stored`, which is then scanned.
     """
     fresh = staged(not_stored(incoming.select(*keys), stored, keys), "new-keys")
     fresh = fresh.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(ID_BUCKETS)).cast("int"))
@@ -161,12 +161,11 @@ def with_new_ids(
     # at most ID_BUCKETS rows meet in this window
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    whole = stored if id_table is None else id_table
-    top = whole.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
+    known = F.lit(top) if top is not None else stored.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
     in_bucket = F.row_number().over(Window.partitionBy("_bucket").orderBy(*keys))
     numbered = (
         fresh.join(F.broadcast(starts), "_bucket")
         .withColumn("_rank", in_bucket)
-        .select(*keys, (top + F.col("_start") + F.col("_rank")).cast("bigint").alias(id_column))
+        .select(*keys, (known + F.col("_start") + F.col("_rank")).cast("bigint").alias(id_column))
     )
     return incoming.drop(id_column).join(numbered, keys, "left")

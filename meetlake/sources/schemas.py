@@ -96,6 +96,7 @@ ENTITY_TABLES = {
     "events": EVENTS,
     "event_details": EVENT_DETAILS,
     "event_registrations": EVENT_REGISTRATIONS,
+    "event_detail_keys": "key string, id bigint",
     "event_hosts": "event_id string, host string",
     "runs": RUN_LOG,
 }
@@ -103,14 +104,30 @@ ENTITY_TABLES = {
 REGISTRATION_KEY = (
     "athlete_id", "event_id", "division", "age_category", "rank", "weight_class",
 )
-# Columns whose hash names the bucket of a row; event details are matched on two columns.
+# Columns whose hash names the bucket of a row. Event details are matched on two columns: a table
+# of both kinds of key names the rows they belong to.
 ENTITY_BUCKET_KEYS = {
     "academies": ("external_id",),
     "athletes": ("external_id",),
     "events": ("event_url",),
+    "event_details": ("id",),
+    "event_detail_keys": ("key",),
     "event_registrations": ("athlete_id",),
     "event_hosts": ("event_id",),
 }
+# Owner of the rows of each table of parts: a batch reads those of the owners it touches.
+PART_OWNERS = {
+    "_academy_links": "external_id",
+    "_academy_pages": "external_id",
+    "_listed_events": "event_url",
+    "_event_pages": "event_id",
+    "_event_documents": "event_id",
+    "_registrations": "external_id",
+    "_members": "academy_name",
+    "_match_pages": "external_id",
+    "_profile_pages": "external_id",
+    "_probes": "event_id",
+}
 ENTITY_KEYS = {
     "academies": ("external_id",),
     "athletes": ("external_id",),

@@ -317,6 +317,28 @@ def test_any_cut_into_batches_gives_the_same_tables(spark, tmp_path, seed):
         assert comparable(cut, name) == comparable(whole, name), name
 
 
+@pytest.mark.parametrize("cuts", [1, 2])
+def test_a_list_that_shrank(spark, tmp_path, cuts):
+    def matches(n, at, next_url=None):
+        won = [{"is_winner": True, "outcome": "Points"}] * n
+        data = [{"registrations": [{"matches": won}]}]
+        tail = "?page=2" if n == 2 else ""
+        url = f"{BASE}/en/profile/1/events{tail}"
+        return capture("profile_events", url, {"data": data, "next_page_url": next_url}, at=at)
+
+    rows = [
+        capture("participants", URL, participants(group(GROUP, registration(1)))),
+        capture("profile", f"{BASE}/en/profile/1", "<p>nothing</p>"),
+        matches(3, T0, "/en/profile/1/events?page=2"),
+        matches(2, T0),
+        matches(5, T0 + timedelta(days=1)),
+    ]
+    store = Store(spark, str(tmp_path), buckets=2)
+    for i, part in enumerate([rows] if cuts == 1 else [rows[:4], rows[4:]]):
+        ingest(store, captures(spark, *part), SITE, f"b{i}", NOW + timedelta(hours=i))
+    assert table(store, "athletes")["1"].total_wins == 5
+
+
 def test_a_batch_writes_only_what_it_touches(spark, tmp_path):
     store = Store(spark, str(tmp_path), buckets=8)
     ingest(store, captures(spark, *all_kinds(spark)), SITE, "one", NOW)
