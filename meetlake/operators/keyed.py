@@ -8,6 +8,7 @@ full outer join on the key.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +37,40 @@ def fill(stored: Column, incoming: Column, is_stored: Column) -> Column:
     return F.coalesce(incoming, stored)
 
 
+@dataclass(frozen=True)
+class Merge:
+    """How a batch changes an entity table: its key, and what becomes of each column.
+
+    The one statement of a keyed write, for `merged` frames and for a catalog's own MERGE.
+    """
+
+    table: str
+    keys: tuple[str, ...]
+    rules: dict[str, Rule]
+    default: Rule = replace
+    insert: bool = True
+
+    def rule(self, column: str) -> Rule:
+        return self.rules.get(column, self.default)
+
+    def clauses(
+        self, stored: DataFrame, given: DataFrame, target: str, source: str
+    ) -> tuple[dict[str, Column], dict[str, Column]]:
+        """Assignments of WHEN MATCHED and of WHEN NOT MATCHED; a column the batch lacks is null
+        in it. `target` and `source` qualify the columns of both sides."""
+        update, insert = {}, {}
+        for column, kind in stored.dtypes:
+            nothing = F.lit(None).cast(kind)
+            old = F.col(f"{target}.{column}")
+            new = F.col(f"{source}.{column}").cast(kind) if column in given.columns else nothing
+            if column in self.keys:
+                insert[column] = new
+                continue
+            update[column] = self.rule(column)(old, new, F.lit(True)).cast(kind)
+            insert[column] = self.rule(column)(nothing, new, F.lit(False)).cast(kind)
+        return update, insert
+
+
 def is_small(frame: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     size = estimated_bytes(frame)
     return size is not None and size <= limit
