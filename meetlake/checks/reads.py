@@ -48,6 +48,14 @@ def athletes_deep_page(spark, sf):
     return reads.deep_slice(athletes, by, paging.offset, paging.limit).select(*_ATHLETE)
 
 
+def athletes_after_row(spark, sf):
+    """SRT-1 by seeking: the hundred athletes after the 700th, given that row."""
+    athletes, _ = _athletes(spark, sf)
+    by = ["-total_wins", "id"]
+    last = reads.deep_slice(athletes, by, 699, 1).first().asDict()
+    return reads.rows_after(athletes, by, last, 100).select(*_ATHLETE)
+
+
 def athletes_with_academy(spark, sf):
     return _with_academy_name(reads.with_academy(*_athletes(spark, sf)))
 
@@ -130,7 +138,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         academies_page, academies_by_country, athletes_page, athletes_by_country,
-        athletes_deep_page, athletes_with_academy, athlete_by_id, academy_with_athletes,
+        athletes_deep_page, athletes_after_row, athletes_with_academy, athlete_by_id, academy_with_athletes,
         events_page, events_by_country_name, event_by_id, page_envelope, needs_enrichment,
         enrichment_batch, run_history, runs_page, run_status,
     )
@@ -174,6 +182,11 @@ SQL = {
         ORDER BY a.total_wins DESC, a.id LIMIT 100 OFFSET 700""",
         "athletes",
     ),
+    "athletes_after_row": with_stand_ins(
+        f"""SELECT {_ATHLETE_SQL} FROM athletes a
+        ORDER BY a.total_wins DESC, a.id LIMIT 100 OFFSET 700""",
+        "athletes",
+    ),
     "athletes_with_academy": with_stand_ins(_JOINED, "athletes", "academies"),
     "athlete_by_id": with_stand_ins(
         f"{_JOINED} WHERE a.external_id = '77' ORDER BY a.id LIMIT 1", "athletes", "academies"

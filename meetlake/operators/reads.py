@@ -5,14 +5,16 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meetlake.operators.lookup import lookup
 from meetlake.operators.runs import last_completed
-from meetlake.session import ensure_checkpoint_dir, staged
+from meetlake.session import staged
 
 SHALLOW_ROWS = 1000
+#: Rows that a deep slice sorts at most, and keys it looks at to find them.
+SELECT_ROWS, SAMPLE_ROWS = 50_000, 4_000
 
 
 def _whole(value, default: int) -> int:
@@ -90,43 +92,66 @@ def ordered_slice(rows: DataFrame, by: list[str], offset: int, limit: int) -> Da
     return deep_slice(rows, by, offset, limit)
 
 
-def deep_slice(rows: DataFrame, by: list[str], offset: int, limit: int) -> DataFrame:
-    """`ordered_slice` for a deep offset; rows have a unique `id`.
+def beyond(by: list[str], row: dict) -> Column:
+    """Whether a row stands after `row` in the order of `in_order(by)`.
 
-    Only the order columns and the id are range-sorted over all tasks and counted per
-    range; the ids of the slice, at most `limit`, are then sent to the rows. The sorted keys
-    go to the reliable checkpoint folder, so that both passes see the same ranges even if
-    executors are lost. The driver gets one count per range.
+    As in that order, nulls come first in a rising column and last in a falling one.
+    """
+    after, same = F.lit(False), F.lit(True)
+    for c in by:
+        name = c.removeprefix("-")
+        column, value = F.col(name), row[name]
+        if value is None:
+            further = F.lit(False) if c.startswith("-") else column.isNotNull()
+        elif c.startswith("-"):
+            further = column.isNull() | (column < F.lit(value))
+        else:
+            further = column > F.lit(value)
+        after = after | (same & F.coalesce(further, F.lit(False)))
+        same = same & column.eqNullSafe(F.lit(value))
+    return after
+
+
+def rows_after(rows: DataFrame, by: list[str], last: dict, limit: int) -> DataFrame:
+    """The next `limit` rows after the one of the values `last`, in the order of `in_order(by)`.
+
+    A page after a known row is a filter and Spark's top-k, however deep it lies.
     """
-    ensure_checkpoint_dir(rows.sparkSession)
-    columns = dict.fromkeys([*(c.removeprefix("-") for c in by), "id"])
-    found = _slice_of_keys(rows.select(*columns), in_order(by), offset, limit).select("id")
-    return rows.join(F.broadcast(found), "id", "left_semi").orderBy(*in_order(by))
+    return rows.filter(beyond(by, last)).orderBy(*in_order(by)).limit(limit)
 
 
-def _slice_of_keys(rows: DataFrame, by: list[Column], offset: int, limit: int) -> DataFrame:
-    ranged = (
-        rows.repartitionByRange(*by)
-        .withColumn("_range", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-    sizes = sorted(ranged.groupBy("_range").count().collect())
-    starts, seen = {}, 0
-    for part, count in sizes:
-        if seen < offset + limit and seen + count > offset:
-            starts[part] = seen
-        seen += count
-    if not starts:
-        return ranged.drop("_range").limit(0)
-    base = F.create_map(*[F.lit(x) for pair in starts.items() for x in pair])
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*by))
-    return (
-        ranged.filter(F.col("_range").isin(list(starts)))
-        .withColumn("_rank", F.element_at(base, F.col("_range")) + rank)
-        .filter((F.col("_rank") > offset) & (F.col("_rank") <= offset + limit))
-        .orderBy("_rank")
-        .drop("_range", "_rank")
-    )
+def deep_slice(rows: DataFrame, by: list[str], offset: int, limit: int) -> DataFrame:
+    """`ordered_slice` for a deep offset; rows have a unique `id`.
+
+    By selection: keys of a bounded sample, in order, bound where the slice must lie; one count
+    over all keys tells how many stand before the bounds and between them. While more than
+    `SELECT_ROWS` lie between, these are narrowed again; only what is left is sorted. The sample
+    only proposes bounds, which are widened where the counts do not confirm them. The ids of
+    the slice, at most `limit`, are then sent to the rows. The driver gets the samples and counts.
+    """
+    columns = list(dict.fromkeys([*(c.removeprefix("-") for c in by), "id"]))
+    inside, order = rows.select(*columns), in_order(by)
+    n, width = inside.count(), 4.0
+    while n > SELECT_ROWS and offset < n:
+        picked = inside.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).orderBy(*order).collect()
+        m = len(picked)
+        low, high = (m * min(at, n) / n for at in (offset, offset + limit))
+        spread = [width * (x * (1 - x / m)) ** 0.5 + width for x in (low, high)]
+        i, j = int(low - spread[0]), int(high + spread[1]) + 1
+        above = beyond(by, picked[i].asDict()) if i >= 0 else F.lit(True)
+        below = ~beyond(by, picked[j].asDict()) if j < m else F.lit(True)
+        before, between = inside.agg(
+            F.count_if(~above), F.count_if(above & below)
+        ).first()
+        ends = before + between
+        if before > offset or (ends < offset + limit and ends < n):
+            width *= 4  # the sample misled
+            continue
+        if between == n:
+            break
+        inside, offset, n = inside.filter(above & below), offset - before, between
+    found = inside.orderBy(*order).offset(offset).limit(limit).select("id")
+    return rows.join(F.broadcast(found), "id", "left_semi").orderBy(*order)
 
 
 def page_of(table: DataFrame, by: str, paging: Paging) -> DataFrame:

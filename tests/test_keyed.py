@@ -144,13 +144,35 @@ def test_pages_out_of_bounds_are_refused(bad):
         reads.EnrichmentBatch(201)
 
 
-def test_deep_slice_equals_top_k(spark):
-    frame = spark.range(5000).select("id", (F.col("id") % 7).alias("v"))
-    by = ["-v", "id"]
-    for offset, limit in ((0, 5), (713, 100), (4990, 50), (6000, 10)):
-        deep = [tuple(r) for r in reads.deep_slice(frame, by, offset, limit).collect()]
-        top = [tuple(r) for r in frame.orderBy(*reads.in_order(by)).offset(offset).limit(limit).collect()]
-        assert deep == top
+@pytest.mark.parametrize(("rows_left", "sample"), [(50_000, 4000), (60, 40), (300, 8)])
+def test_deep_slice_equals_top_k(spark, monkeypatch, rows_left, sample):
+    monkeypatch.setattr(reads, "SELECT_ROWS", rows_left)
+    monkeypatch.setattr(reads, "SAMPLE_ROWS", sample)
+    v = F.when(F.col("id") % 11 > 0, F.col("id") % 7)
+    frame = spark.range(5000).select("id", F.when(F.col("id") % 3 == 0, 3).otherwise(v).alias("v"))
+    for by in (["-v", "id"], ["v", "-id"]):
+        whole = [tuple(r) for r in frame.orderBy(*reads.in_order(by)).collect()]
+        for offset, limit in ((0, 5), (2113, 100), (4990, 50), (6000, 10)):
+            deep = [tuple(r) for r in reads.deep_slice(frame, by, offset, limit).collect()]
+            assert deep == whole[offset : offset + limit]
+
+
+def test_rows_after_a_row(spark):
+    frame = spark.range(300).select("id", F.when(F.col("id") % 5 > 0, F.col("id") % 4).alias("v"))
+    for by in (["-v", "id"], ["v", "-id"]):
+        whole = frame.orderBy(*reads.in_order(by)).collect()
+        seen, last = whole[:7], whole[6]
+        while len(page := reads.rows_after(frame, by, last.asDict(), 50).collect()):
+            seen, last = seen + page, page[-1]
+        assert seen == whole
+
+
+def test_a_deep_slice_sorts_no_table(spark, monkeypatch):
+    monkeypatch.setattr(reads, "SELECT_ROWS", 500)
+    frame = spark.range(40_000).select("id", (F.col("id") % 7).alias("v"))
+    page = reads.deep_slice(frame, ["-v", "id"], 30_000, 20)
+    plan = page._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan and page.count() == 20
 
 
 def test_pages_cover_the_table(spark):
