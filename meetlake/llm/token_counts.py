@@ -47,6 +47,11 @@ class PrefixCounter:
             tuple(m if isinstance(m, list) else m.split(" ")): i
             for i, m in enumerate(spec["model"]["merges"])
         }
+        #: Merges that make a token, by token.
+        self.made: dict[str, list[tuple[int, str, str]]] = {}
+        for (a, b), i in self.rank.items():
+            self.made.setdefault(a + b, []).append((i, a, b))
+        self.trees: dict[str, tuple | None] = {}
         self.vocab = spec["model"]["vocab"]
         ends: dict[str, set[int]] = {}
         for token in self.vocab:
@@ -80,16 +85,57 @@ class PrefixCounter:
             symbols = out
         return symbols
 
+    def _tree(self, token: str) -> tuple | None:
+        """(rank, left spine, right spine) of the merges that make a token; None if they do not
+        run in order of rank or make something else.
+
+        A spine lists what stands at an end of the token while it is made, each symbol with the
+        rank of the merge that ends it.
+        """
+        known = self.trees.get(token, 0)
+        if known == 0:
+            known = None
+            if len(token) == 1:
+                known = -1, ((token, np.inf),), ((token, np.inf),)
+            elif len(made := self.made.get(token, ())) == 1:
+                rank, a, b = made[0]
+                left, right = self._tree(a), self._tree(b)
+                if left and right and max(left[0], right[0]) < rank and self._stays(a, b, rank):
+                    first = (*left[1][:-1], (a, rank), (token, np.inf))
+                    known = rank, first, (*right[2][:-1], (b, rank), (token, np.inf))
+            self.trees[token] = known
+        return known
+
+    def _stays(self, a: str, b: str, until: float) -> bool:
+        """Whether no merge over the seam of two tokens comes before rank `until`.
+
+        The two symbols at the seam change as each side is merged. A merge of both comes
+        first if its rank is below those that end them; of equal ranks the leftmost comes first.
+        """
+        ends, starts, i, j = self.trees[a][2], self.trees[b][1], 0, 0
+        while True:
+            (x, end), (y, start) = ends[i], starts[j]
+            rank = self.rank.get((x, y), np.inf)
+            if rank < end and rank <= start and rank < until:
+                return False
+            if end == start == np.inf:
+                return True
+            i, j = (i + 1, j) if end <= start else (i, j + 1)
+
     def follows(self, last: str, token: str) -> bool:
         """Whether `token` may stand after `last`: together they encode to just the two.
 
-        With an empty `last`: whether the token encodes to itself.
+        With an empty `last`: whether the token encodes to itself. Where both are made in order of
+        rank, the seam alone decides; else the two are merged.
         """
         known = self.pairs.get((last, token))
         if known is None:
             if len(self.pairs) >= 2 * self.cached:
                 self.pairs.clear()
-            known = self.merged(list(last + token)) == ([last, token] if last else [token])
+            if self._tree(token) and (not last or self._tree(last)):
+                known = not last or self._stays(last, token, np.inf)
+            else:
+                known = self.merged(list(last + token)) == ([last, token] if last else [token])
             self.pairs[last, token] = known
         return known
 
@@ -105,12 +151,14 @@ class PrefixCounter:
             states.clear()
             states[""] = "", 0
             known = 0
+        vocab, lengths, pairs = self.vocab, self.lengths, self.pairs
         for i in range(known + 1, len(prefix) + 1):
-            for n in self.lengths.get(prefix[max(0, i - 2) : i], (1,)):
+            for n in lengths.get(prefix[i - 2 if i > 1 else 0 : i], (1,)):
                 j = i - n
-                if j >= 0 and (token := prefix[j:i]) in self.vocab:
+                if j >= 0 and (token := prefix[j:i]) in vocab:
                     last, count = states[prefix[:j]]
-                    if self.follows(last, token):
+                    stays = pairs.get((last, token))
+                    if stays or (stays is None and self.follows(last, token)):
                         states[prefix[:i]] = token, count + 1
                         break
             else:
@@ -119,13 +167,16 @@ class PrefixCounter:
 
     def _counts(self, part: str) -> array:
         """Tokens of every prefix of one part of any length; nothing is kept."""
-        starts, counts, vocab, lengths = array("q", [0]), array("q", [0]), self.vocab, self.lengths
+        starts, counts = array("q", [0]), array("q", [0])
+        vocab, lengths, pairs = self.vocab, self.lengths, self.pairs
         for i in range(1, len(part) + 1):
             for n in lengths.get(part[max(0, i - 2) : i], (1,)):
                 j = i - n
                 if j < 0 or (token := part[j:i]) not in vocab:
                     continue
-                if self.follows(part[starts[j] : j], token):
+                last = part[starts[j] : j]
+                stays = pairs.get((last, token))
+                if stays or (stays is None and self.follows(last, token)):
                     starts.append(j)
                     counts.append(counts[j] + 1)
                     break

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import tracemalloc
 import zlib
@@ -97,6 +98,25 @@ def test_prefixes_of_a_long_run_are_exact(counter, byte_library):
         assert got[i] == len(byte_library.encode(run[:i], add_special_tokens=False).ids)
 
 
+def test_pairs_by_rank_equal_merging(counter):
+    """What the seam tells of two tokens is what merging both from their symbols gives."""
+    rng = random.Random(6)
+    tokens = [t for t in counter.vocab if len(t) < 12]
+    same = [("\u0120" * i, "\u0120" * j) for i in (1, 2, 3, 4) for j in (1, 2, 3, 4)]
+    doubled = [(t, t) for t in rng.sample(tokens, 400)]
+    pairs = [tuple(rng.sample(tokens, 2)) for _ in range(6000)] + same + doubled
+    pairs += [(t[:i], t[i:]) for t in rng.sample(tokens, 800) for i in range(1, len(t))]
+    seen = set()
+    for a, b in pairs:
+        if a in counter.vocab and b in counter.vocab and counter.follows("", a) and counter.follows("", b):
+            want = counter.merged(list(a + b)) == [a, b]
+            assert counter.follows(a, b) == want, (a, b)
+            seen.add(want)
+    assert seen == {True, False}
+    for t in rng.sample(tokens, 500):
+        assert counter.follows("", t) == (counter.merged(list(t)) == [t])
+
+
 def test_budget_questions(counter):
     text = "the thing of heatherington\nand more"
     pairs = counter.prefix_counts(text)
@@ -257,6 +277,41 @@ def test_verdicts_follow_rules_and_trees(spark):
     assert again == {r["page_id"]: r["verdict"] for r in got}
 
 
+def test_statistics_leave_out_a_row_and_its_copies(spark):
+    """Shares per key by a loop over all other folds; a key only copies have says nothing."""
+    rows = [(f"http://h{i % 7}.example.{'com' if i % 3 else 'org'}/a{i % 4}/{i}", i % 5 and float(i % 2)) for i in range(120)]
+    rows = [(u, None if y == 0 and i % 5 == 0 else float(y)) for i, (u, y) in enumerate(rows)]
+    rows += [("http://alone.test/zz/1", 1.0)] * 9 + [("http://alone.test/zz/2", None)]
+    frame = spark.createDataFrame(rows, "url string, label double")
+    host, path = urls.host_and_path(F.col("url"))
+    frame = urls.lexical(frame.withColumn("host", host).withColumn("path", path))
+    fold = F.pmod(F.xxhash64("url"), F.lit(urls.FOLDS)).alias("f")
+    plain = frame.select("url", "label", *urls.SUFFIXES, fold).collect()
+    for r in urls.rated(frame, 0.3).collect():
+        f = next(p["f"] for p in plain if p["url"] == r["url"])
+        for key in urls.SUFFIXES:
+            same = [p for p in plain if p[key] == r[key] and p["label"] is not None]
+            if r["label"] is not None:
+                same = [p for p in same if p["f"] != f]
+            want = (sum(p["label"] for p in same) + 0.3 * 5) / (len(same) + 5)
+            assert r[f"{key}_rate"] == pytest.approx(want)
+        if r["url"].endswith("zz/1"):
+            assert r["suffix_rate"] == pytest.approx(0.3)
+
+
+def test_a_withheld_rule_is_learned_from_the_others(spark):
+    """Trees that never saw a rule's own labels: how they judge its URLs."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    whole = {r["page_id"]: r for r in urls.judged(pages).collect()}
+    rule = next(r for r in urls.RULES if r.text == "org/es/")
+    rest = tuple(r for r in urls.RULES if r != rule)
+    got = {r["page_id"]: r for r in urls.judged(pages, rest).collect()}
+    mine = [i for i, r in whole.items() if r["rule"] == rule.text]
+    assert mine and all(got[i]["rule"] is None and got[i]["score"] is not None for i in mine)
+    kept = [i for i, r in whole.items() if r["rule"] not in (None, rule.text)]
+    assert all(got[i]["verdict"] == whole[i]["verdict"] for i in kept)
+
+
 def test_trees_learn_the_labels(spark):
     """URLs whose rules are withheld get the verdict of URLs like them."""
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
