@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from meetlake.llm import mixing, quality, simhash, toxicity
+from meetlake.llm import jaccard, mixing, quality, toxicity
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -28,7 +29,7 @@ def test_stages_work_on_what_is_left(spark):
     assert ids(mild) == ids(good) - toxic
 
     single = stages["dedup"](spark, mild, SF_DIR).cache()
-    groups = {r["component_id"] for r in simhash.grouped(mild).collect()}
+    groups = _firsts_of_groups([(r["doc_id"], r["text"]) for r in mild.collect()])
     assert ids(single) == groups and single.count() == len(groups)
 
     mix = stages["mixing"](spark, single, SF_DIR).cache()
@@ -46,6 +47,32 @@ def _grams(text):
     return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
+def _firsts_of_groups(rows):
+    """Smallest id of each group of texts that links at 0.8 of their 5-word shingles reach."""
+    sets = {i: _grams(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, x in sets.items():
+        for b, y in sets.items():
+            if a < b and 5 * min(len(x), len(y)) >= 4 * max(len(x), len(y)):
+                if x == y or len(x & y) >= 0.8 * len(x | y):
+                    p, q = find(a), find(b)
+                    root[max(p, q)] = min(p, q)
+    return {find(i) for i in sets}
+
+
+def _edited(rng, words, edits, new):
+    near = list(words)
+    for at in rng.sample(range(len(words)), edits):
+        near[at] = new()
+    return near
+
+
 def test_dedup_groups_equal_brute_force_of_five_words(spark):
     rng = random.Random(8)
     lexicon = [f"w{i}" for i in range(400)]
@@ -54,26 +81,85 @@ def test_dedup_groups_equal_brute_force_of_five_words(spark):
         base = [rng.choice(lexicon) for _ in range(150)]
         texts.append(base)
         for edits in (1, 1, 2, 3, 4, 6, 12):
-            near = list(texts[-1] if edits == 2 else base)
-            for at in rng.sample(range(150), edits):
-                near[at] = "changed"
-            texts.append(near)
+            texts.append(_edited(rng, texts[-1] if edits == 2 else base, edits, lambda: "changed"))
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
     rows += [(200, "One two"), (201, "one TWO"), (202, None), (203, ""), (204, "one")]
-    sets = {i: _grams(t) for i, t in rows}
-    root = {i: i for i in sets}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dict(corpus_pipeline.STAGES)["dedup"](spark, docs, SF_DIR)
+    assert {r["doc_id"] for r in got.collect()} == _firsts_of_groups(rows)
 
-    def find(i):
-        return i if root[i] == i else find(root[i])
 
-    for a, x in sets.items():
-        for b, y in sets.items():
-            if a < b and (x == y or len(x & y) >= 0.8 * len(x | y)):
-                p, q = find(a), find(b)
-                root[max(p, q)] = min(p, q)
+def _crowd(seed, n=260, length=120):
+    """Copies of one text at 0.6 to 0.9 of each other, without the text itself; some of them in
+    chains, some cut short."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(500)}" for _ in range(length)]
+    word = lambda: f"x{rng.randrange(10**6)}"
+    texts = []
+    for i in range(n):
+        texts.append(_edited(rng, base, rng.choice((1, 2, 3, 4, 5)), word))
+        if i % 5 == 0:
+            texts.append(_edited(rng, texts[-1], 2, word))
+        if i % 7 == 0:
+            texts.append(texts[-1][: rng.randrange(90, length)])
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_a_crowd_of_near_copies_is_grouped_like_brute_force(spark, seed):
+    rows = _crowd(seed)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = dict(corpus_pipeline.STAGES)["dedup"](spark, docs, SF_DIR)
-    assert {r["doc_id"] for r in got.collect()} == {find(i) for i in sets}
+    want = _firsts_of_groups(rows)
+    assert {r["doc_id"] for r in got.collect()} == want and 20 < len(want) < len(rows)
+
+
+def _nodes(rows):
+    """(fp, root, n) and (fp, hashes, bits) of rows, each a group of its own."""
+    sets = [(i, jaccard.shingles(t, 5)) for i, t in rows]
+    sets = [(i, s.view("int64").tolist(), jaccard.bitmap(s)) for i, s in sets]
+    return [(i, i, len(s)) for i, s, _ in sets], sets
+
+
+def test_no_similar_pair_is_lost_by_the_prefixes(spark):
+    rows = _crowd(3, 120)
+    nodes, sets = _nodes(rows)
+    sets_frame = spark.createDataFrame(sets, "fp long, hashes array<long>, bits array<long>")
+    for s in (0.8, 0.6, 0.95):
+        found = jaccard._prefixes(spark.createDataFrame(nodes, "fp long, root long, n int"), sets_frame, s)
+        got = {frozenset(p) for p in jaccard._across(found, s).collect()}
+        of = {i: set(h) for i, h, _ in sets}
+        want = {
+            frozenset((a, b))
+            for a in of for b in of
+            if a < b and of[a] != of[b] and len(of[a] & of[b]) >= s * len(of[a] | of[b])
+        }
+        assert want <= got and want
+
+
+def test_bitmaps_never_differ_more_than_their_sets():
+    rows = _crowd(5, 60) + [(1000, ""), (1001, "one"), (1002, " ".join(f"w{i}" for i in range(5000)))]
+    sets = [jaccard.shingles(t, 5) for _, t in rows]
+    maps = [[w & 2**64 - 1 for w in jaccard.bitmap(s)] for s in sets]
+    for x, p in zip(sets, maps):
+        for y, q in zip(sets, maps):
+            bits = sum((a ^ b).bit_count() for a, b in zip(p, q))
+            assert bits <= len(set(x.tolist()) ^ set(y.tolist()))
+
+
+def test_copies_that_differ_too_much_meet_nobody(spark):
+    """Pairs looked at grow with the nodes, not with their square."""
+    rng, pairs = random.Random(4), []
+    base = [f"w{rng.randrange(500)}" for _ in range(150)]
+    for n in (150, 600):
+        rows = [
+            (i, " ".join(_edited(rng, base, 6, lambda: f"x{rng.randrange(10**9)}"))) for i in range(n)
+        ]
+        nodes, sets = _nodes(rows)
+        sets = spark.createDataFrame(sets, "fp long, hashes array<long>, bits array<long>")
+        found = jaccard._prefixes(spark.createDataFrame(nodes, "fp long, root long, n int"), sets, 0.8)
+        pairs.append(jaccard._across(found, 0.8).count())
+    assert pairs[0] <= 150 and pairs[1] <= 600
 
 
 def test_run_gives_the_last_stage(spark):
