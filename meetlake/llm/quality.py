@@ -39,6 +39,9 @@ SAMPLE_CHARS = 50_000
 TRIGRAM_BITS, EVENT_BITS = 11, 8
 DIM = 2**TRIGRAM_BITS + 2**EVENT_BITS
 EM_ROUNDS = 50
+#: Words of the blocks in which the share of different words is measured, so that it means the
+#: same for texts of any length.
+BLOCK_WORDS = 200
 THRESHOLD = 0.5
 
 _SYMBOLS = set(b"!#$%&*+<=>@[\\]^_`{}~")
@@ -96,7 +99,7 @@ def signals(text: str | None) -> Signals:
         endings=endings / n,
         letter_share=letters / max(len(raw) - space - digits, 1),
         stutter=same / max(n - 1, 1),
-        variety=len(set(words)) / n,
+        variety=sum(len(set(words[i : i + BLOCK_WORDS])) for i in range(0, n, BLOCK_WORDS)) / n,
         repeated_lines=1 - len(set(lines)) / max(len(lines), 1),
         stops=stops / n,
     )
@@ -111,7 +114,6 @@ def votes(s: Signals) -> list[int]:
     if not s.words:
         return [ABSTAIN] * 9 + [BAD]
     long = s.letters >= 120  # an address or number must not weigh down a short text
-    short = s.words < 1000  # the share of new words falls with the length of any text
     return [
         band(s.capitals, s.capitals < 0.15 or s.letters < 20, s.capitals > 0.3 and s.letters >= 20),
         band(s.shouting, s.shouting < 0.05, s.shouting > 0.15),
@@ -120,7 +122,7 @@ def votes(s: Signals) -> list[int]:
         band(s.letter_share, s.letter_share > 0.92 or not long, s.letter_share < 0.88 and long),
         band(s.bars, s.bars == 0, s.bars > 0.1),
         band(s.stutter, s.stutter < 0.03, s.stutter > 0.1),
-        band(s.variety, s.variety > 0.45 or not short, s.variety < 0.25 and short),
+        band(s.variety, s.variety > 0.45, s.variety < 0.25),
         band(s.repeated_lines, s.repeated_lines < 0.1, s.repeated_lines > 0.4),
         band(s.stops, s.stops >= 0.02, s.words > 80 and s.stops < 0.008),
     ]

@@ -30,6 +30,36 @@ def test_em_finds_the_accuracy_of_labellers():
     assert ((model.posterior(votes) >= 0.5) == truth).mean() > 0.97
 
 
+@pytest.mark.parametrize("times", [20, 120, 2000])
+def test_votes_do_not_change_with_length(times):
+    rng = random.Random(2)
+    variety = lambda text: quality.votes(quality.signals(text))[quality.LABELLERS.index("variety")]
+    phrase = "one phrase of seven words said again "
+    assert variety(phrase * times) == quality.BAD
+    words = [f"w{rng.randrange(300)}" for _ in range(10 * times)]
+    assert variety(" ".join(words)) == quality.GOOD
+
+
+def test_scores_equal_brute_force(spark):
+    """The query against votes counted in a loop, EM on all single votes, and the scorer's sum."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    votes = np.array([quality.votes(quality.signals(t)) for t in texts.values()])
+    # one row per document instead of counts of patterns
+    labellers = quality.fit_labellers(votes, np.ones(len(votes)))
+    order = docs.selectExpr("text", "xxhash64(doc_id, text) AS h").filter("length(text) <= 50000")
+    sample = [r["text"] for r in order.orderBy("h").collect()]
+    x = np.stack([quality.features(t, quality.signals(t)) for t in sample])
+    p = labellers.posterior(np.array([quality.votes(quality.signals(t)) for t in sample]))
+    scorer = quality.fit_scorer(x, p)
+    for r in quality.scored(docs).collect():
+        text = texts[r["doc_id"]]
+        f = quality.features(text, quality.signals(text))
+        z = sum(a * b for a, b in zip(f.tolist(), scorer.weights.tolist())) + scorer.intercept
+        assert r["quality"] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-3)
+        assert r["keep"] == (r["quality"] >= 0.5)
+
+
 def test_quality_of_labelled_documents(spark):
     rows = quality.scored(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
