@@ -5,7 +5,8 @@ of several that fit, the longest wins. URLs without a rule are judged by gradien
 trees on lexical features: lengths, depth, digit ratio, entropy, parameter, hyphen and
 label counts, and how often labelled URLs with the same host suffix, top-level domain or
 first path segment are blocked. The trees learn from the URLs that rules label, at most
-`SAMPLE_ROWS` of them; the statistics count all of them.
+`SAMPLE_ROWS` of them; the statistics count all of them. For a labelled URL they leave out its
+own fold, so that no URL, nor a copy of it, tells the trees its own label.
 
 Defined results: a null URL or one without `://` has an empty host and path and no rule, and is
 judged like any other; an empty table gives no rows; if the labelled URLs are all of one class, that
@@ -29,7 +30,7 @@ from meetlake.session import staged
 
 SAMPLE_ROWS = 20_000
 TREES, DEPTH, RATE = 20, 5, 0.2
-SMOOTHING = 5.0
+SMOOTHING, FOLDS = 5.0, 5
 SUFFIXES = ("suffix", "tld", "segment")
 FEATURES = (
     "url_length", "host_length", "path_length", "depth", "digits", "entropy", "parameters",
@@ -110,11 +111,32 @@ def lexical(rows: DataFrame) -> DataFrame:
     )
 
 
-def _rates(labelled: DataFrame, key: str, prior: float) -> DataFrame:
-    """Smoothed share of blocked URLs per key; one row per key."""
-    blocked = F.sum(F.when(F.col("label") == 1, 1).otherwise(0))
-    rate = (blocked + prior * SMOOTHING) / (F.count("*") + SMOOTHING)
-    return labelled.groupBy(key).agg(rate.alias(f"{key}_rate"))
+def _counts(labelled: DataFrame, key: str) -> DataFrame:
+    """Labelled and blocked URLs per key and fold; one row per key."""
+    folds = [F.col("fold") == k for k in range(FOLDS)]
+    return labelled.groupBy(key).agg(
+        F.array(*[F.count_if(f) for f in folds]).alias("n"),
+        F.array(*[F.count_if(f & (F.col("label") == 1)) for f in folds]).alias("b"),
+    )
+
+
+def rated(rows: DataFrame, prior: float) -> DataFrame:
+    """Adds per statistic the smoothed share of blocked URLs with the same key.
+
+    `rows` are staged and have url and label (1 blocked, 0 allowed, null not labelled).
+    """
+    full = rows.withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int"))
+    labelled = full.filter(F.col("label").isNotNull())
+
+    def others(c: str) -> Column:
+        own = F.when(F.col("label").isNotNull(), F.get(c, F.col("fold"))).otherwise(0)
+        return reduce(Column.__add__, [F.get(c, F.lit(k)) for k in range(FOLDS)]) - own
+
+    for key in SUFFIXES:
+        rate = (others("b") + prior * SMOOTHING) / (others("n") + SMOOTHING)
+        met = full.join(staged(_counts(labelled, key), f"url-{key}"), key, "left")
+        full = met.withColumn(f"{key}_rate", F.coalesce(rate, F.lit(prior))).drop("n", "b")
+    return full.drop("fold")
 
 
 def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, page_id="page_id", url="url"):
@@ -130,10 +152,9 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, page_id="page_id",
     rows = rows.withColumn("rule", ruled(rules, *here, "text")).withColumn(
         "ruled", ruled(rules, *here, "verdict")
     )
+    rows = rows.withColumn("label", (F.col("ruled") == "block").cast("double"))
     rows = staged(lexical(rows), "urls")
-    labelled = rows.filter(F.col("ruled").isNotNull()).withColumn(
-        "label", (F.col("ruled") == "block").cast("double")
-    )
+    labelled = rows.filter(F.col("label").isNotNull())
     by_class = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     if len(by_class) < 2:
         only = "block" if 1.0 in by_class else "allow"
@@ -143,16 +164,10 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, page_id="page_id",
             F.lit(None).cast("double").alias("score"),
         )
     prior = by_class[1.0] / sum(by_class.values())
-    full = rows
-    for key in SUFFIXES:
-        full = full.join(staged(_rates(labelled, key, prior), f"url-{key}"), key, "left").fillna(
-            prior, [f"{key}_rate"]
-        )
+    full = rated(rows, prior)
     wanted = [*FEATURES, *(f"{k}_rate" for k in SUFFIXES)]
     vectors = VectorAssembler(inputCols=wanted, outputCol="features").transform(full)
-    fitting = full.filter(F.col("ruled").isNotNull()).select(
-        "url", *wanted, (F.col("ruled") == "block").cast("double").alias("label")
-    )
+    fitting = full.filter(F.col("label").isNotNull()).select("url", *wanted, "label")
     sample = staged(
         bounded_sample(fitting, SAMPLE_ROWS, sum(by_class.values()), "url", *wanted), "url-sample"
     )
