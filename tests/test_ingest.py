@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
+import pandas as pd
 import pytest
 from golden import (
     ACADEMY, BASE, EVENTS, LD, PROFILE, T0, capture, captures, event_page, group, listing,
@@ -393,3 +394,57 @@ def test_details_of_an_event(spark, store):
     assert reads.details_of_event(details, event_url=by_id.event_url).first() == by_id
     with pytest.raises(ValueError):
         reads.details_of_event(details)
+
+
+class _Calls:
+    """The state of one bucket in place of the executor's, counting the calls on it."""
+
+    def __init__(self):
+        self.rows, self.timers, self.calls = [], set(), 0
+
+    def getListState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.calls, self.rows = self.calls + 1, list(rows)
+
+    def clear(self):
+        self.calls, self.rows = self.calls + 1, []
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+
+class _Fired:
+    def __init__(self, at, mark):
+        self.getExpiryTimeInMs, self.getCurrentWatermarkInMs = lambda: at, lambda: mark
+
+
+def test_changed_captures_reads_the_state_once_for_many_addresses():
+    state, newest = _Calls(), jobs._Newest(["kind", "url", "fetched_at"])
+    newest.init(state)
+
+    def passed(*rows):
+        frame = pd.DataFrame(rows, columns=["url", "fetched_at", jobs.CONTENT]).assign(kind="event")
+        frame[jobs.AT] = frame["fetched_at"]
+        out = pd.concat(newest.handleInputRows((0,), iter([frame[:1], frame[1:]]), None))
+        return sorted(zip(out["url"], out["fetched_at"]), key=str)
+
+    every = [(f"u{i}", 10 + i, 1) for i in range(500)]
+    assert len(passed(*every)) == 500
+    assert state.calls == 2 and state.timers == {10}
+    # the same, changed, changed and back, late, without an address
+    rows = ("u0", 20, 1), ("u1", 20, 2), ("u2", 30, 1), ("u2", 20, 3), ("u99", 9, 7), (None, 5, 1)
+    assert passed(*rows) == [(None, 5), ("u1", 20), ("u2", 20), ("u2", 30)]
+    assert state.calls == 4 and state.timers == {5}
+    list(newest.handleExpiredTimer((0,), _Fired(5, 400), _Fired(5, 400)))
+    assert min(r[2] for r in state.rows) == 400 and 400 in state.timers
+    list(newest.handleExpiredTimer((0,), _Fired(400, 9999), _Fired(400, 9999)))
+    assert not state.rows
