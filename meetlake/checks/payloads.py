@@ -50,7 +50,9 @@ def batch_counters(spark, sf):
     """AGG-5 per event."""
     decoded = payloads.decode_participants(derived.participants(spark, sf))
     flat = event_athletes.event_athletes(payloads.registrations(decoded), SITE)
-    saved = flat.select("event_id", "external_id").distinct()
+    # the bodies are decoded once for the rows, not once for valid and once for saved ones
+    flat = staged(flat.select("event_id", "external_id"), "flat")
+    saved = flat.distinct()
     return runs.batch_counters(payloads.payload_counts(decoded), flat, saved, "event_id")
 
 
