@@ -442,7 +442,7 @@ def test_changed_captures_reads_the_state_once_for_many_addresses():
     assert state.calls == 2 and state.timers == {10}
     # the same, changed, changed and back, late, without an address
     rows = ("u0", 20, 1), ("u1", 20, 2), ("u2", 30, 1), ("u2", 20, 3), ("u99", 9, 7), (None, 5, 1)
-    assert passed(*rows) == [(None, 5), ("u1", 20), ("u2", 20), ("u2", 30)]
+    assert passed(*rows) == [("u1", 20), ("u2", 20), ("u2", 30), (None, 5)]
     assert state.calls == 4 and state.timers == {5}
     list(newest.handleExpiredTimer((0,), _Fired(5, 400), _Fired(5, 400)))
     assert min(r[2] for r in state.rows) == 400 and 400 in state.timers
