@@ -448,3 +448,38 @@ def test_changed_captures_reads_the_state_once_for_many_addresses():
     assert min(r[2] for r in state.rows) == 400 and 400 in state.timers
     list(newest.handleExpiredTimer((0,), _Fired(400, 9999), _Fired(400, 9999)))
     assert not state.rows
+
+
+def test_a_batch_is_dealt_over_the_cores_and_steps_of_absent_kinds_are_left_out(
+    spark, tmp_path, monkeypatch
+):
+    def unused(*_):
+        raise AssertionError("no such captures came")
+
+    for module, name in (
+        (event_details, "event_pages"), (event_details, "event_documents"),
+    ):
+        monkeypatch.setattr(module, name, unused)
+    pages = [capture("event_list", f"{BASE}/en/events/past?p={i}", listing(EVENTS)) for i in range(40)]
+    store = Store(spark, str(tmp_path / "store"), buckets=2)
+    one_file = captures(spark, *pages, capture("other", f"{BASE}/x", "y")).coalesce(1)
+    seen = store.begin("a").by_kind(one_file, ("event_list", "probe"))
+    assert seen[1] == {"n": 41, "event_list": 40, "probe": 0}
+    assert sorted(seen[0].collect()) == sorted(one_file.collect())
+    assert len(seen[0].filter("kind = 'event_list'").inputFiles()) > 2
+    assert ingest(store, one_file, SITE, "b", NOW)
+    assert store.read("events").count() > 0
+
+
+def test_batch_counters_decodes_valid_and_saved_rows_once(spark, tmp_path):
+    from meetlake.checks.payloads import batch_counters
+
+    spark.sql(
+        "SELECT id AS o_orderkey, id % 5 AS o_custkey, 'F' AS o_orderstatus, 1.5D AS o_totalprice, "
+        "TIMESTAMP '2025-01-01 00:00:00' AS o_orderdate, '1-URGENT' AS o_orderpriority FROM range(1, 20)"
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    found = batch_counters(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    one = found.filter("event_id = '1'").first()
+    assert (one["groups"], one["registrations"], one["valid"], one["saved"]) == (2, 3, 3, 2)
