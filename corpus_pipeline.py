@@ -26,7 +26,10 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: 0.8 of their 5-word shingles in common."""
+    """One document of each group of near-duplicates: 0.8 of their 5-word shingles in common.
+
+    Operator 3's Golay keys of fingerprints find the first of them, `jaccard` those they miss.
+    """
     tune(spark)
     return simhash.kept(docs, words=5, similarity=0.8)
 

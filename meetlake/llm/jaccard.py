@@ -1,13 +1,14 @@
 """Links of texts by the Jaccard similarity of their word shingles, for the pipeline's dedup.
 
 A text is the set of its shingles of `words` words (a shorter text is one shingle); texts of
-equal sets are one node. Candidates share one of `BANDS` keys of `ROWS` MinHash values each,
+equal sets are one node. The first candidates are those of operator 3, by Golay keys of
+fingerprints; what these miss share one of `BANDS` keys of `ROWS` MinHash values each,
 and every link is verified on the whole sets. A pair at similarity s shares no key with probability
 (1 - s^8)^48: 1.5e-4 at 0.8, 2e-7 at 0.85.
 
 A bucket of near copies is not paired with itself. Its members first meet its head, the node that
 shares most keys with others (in a group of copies, about the text they were made of). Links
-are contracted, and where a bucket still holds several groups a second head is tried. What is then
+are contracted, those of fingerprints before the first head, and where a bucket still holds several groups a second head is tried. What is then
 still apart is paired by an exact prefix filter on shingles, rarest first: two sets that are
 similar enough share one of their first n - ceil(s n) + 1 shingles, and as many as s / (1 + s) of
 both sizes together. Shingles that no other such node has cannot be shared, which bounds the
@@ -47,8 +48,8 @@ _CHUNK = 256
 _EMPTY = np.iinfo(np.uint64).max
 
 
-def shingles(text: str | None, words: int) -> np.ndarray:
-    """Sorted hashes of the distinct shingles of a text, letters A-Z in lower case."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """Hashes of the shingles of a text in order, repeats included, letters A-Z in lower case."""
     parts = (text or "").encode("utf-8", "replace").lower().split()
     if not parts:
         return np.empty(0, dtype=np.uint64)
@@ -57,7 +58,12 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     stops = (ends[size - 1 :] - 1).tolist()
     starts = [0, *ends[: len(parts) - size].tolist()]
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(flat[a:b], SEED) for a, b in zip(starts, stops)], dtype=np.uint64))
+    return np.array([digest(flat[a:b], SEED) for a, b in zip(starts, stops)], dtype=np.uint64)
+
+
+def shingles(text: str | None, words: int) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of a text."""
+    return np.unique(shingle_hashes(text, words))
 
 
 @cache
@@ -82,17 +88,20 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return keys.view(np.int64).tolist()
 
 
-def signatures(text: str, words: int) -> Column:
-    """Per text: `fp`, the same for equal sets, its number of shingles `n`, its keys `bands`."""
+def signatures(text: str, words: int, fingerprint) -> Column:
+    """Per text: `fp`, the same for equal sets, its number of shingles `n`, its keys `bands`, and
+    `simhash`, the `fingerprint` of its shingles with their repeats."""
 
-    @F.pandas_udf("fp long, n long, bands array<long>")
+    @F.pandas_udf("fp long, n long, bands array<long>, simhash long")
     def signed(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for t in texts:
-            s = shingles(t, words)
+            every = shingle_hashes(t, words)
+            s = np.unique(every)
             fp = np.uint64(xxhash.xxh64_intdigest(s.tobytes(), SEED)).astype(np.int64)
-            rows.append((int(fp), len(s), band_keys(s)))
-        return pd.DataFrame(rows, columns=["fp", "n", "bands"])
+            mark = np.uint64(fingerprint(every)).astype(np.int64)
+            rows.append((int(fp), len(s), band_keys(s), int(mark)))
+        return pd.DataFrame(rows, columns=["fp", "n", "bands", "simhash"])
 
     return signed(text)
 
@@ -211,11 +220,13 @@ def _across(prefixes: DataFrame, similarity: float) -> DataFrame:
     return met.select(F.col("a_fp").alias("a"), F.col("fp").alias("b")).distinct()
 
 
-def links(nodes: DataFrame, words: int, similarity: float, contracted) -> DataFrame:
+def links(
+    nodes: DataFrame, words: int, similarity: float, contracted, candidates: DataFrame
+) -> DataFrame:
     """Links (a, b) that join all texts which a chain of similar texts joins.
 
     `nodes` has fp, n, bands and text, one row per fp; `contracted` names the root of each
-    node of some links.
+    node of some links; `candidates` are pairs (a, b) to start from.
     """
 
     @F.pandas_udf("hashes array<long>, bits array<long>")
@@ -227,15 +238,17 @@ def links(nodes: DataFrame, words: int, similarity: float, contracted) -> DataFr
     shared = met.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
     met = staged(met.join(shared, "key"), "jaccard-keys")
     degree = met.groupBy("fp").agg(F.sum("m").alias("degree"))
-    sets = nodes.join(degree, "fp", "left_semi").select("fp", made("text").alias("s"))
+    needed = degree.select("fp").union(candidates.select("a")).union(candidates.select("b"))
+    sets = nodes.join(needed, "fp", "left_semi").select("fp", made("text").alias("s"))
     sets = staged(sets.select("fp", "s.*"), "jaccard-sets")
-    members = met.drop("m").join(degree, "fp")
-    members = members.withColumn("root", F.col("fp")).withColumn("top", F.lit(None).cast("long"))
-    members, found = staged(members, "jaccard-members"), None
+    found = staged(_verified(_likely(candidates, sets, similarity), sets, similarity), "jaccard-links")
+    roots = contracted(found).withColumnRenamed("node", "fp")
+    members = met.drop("m").join(degree, "fp").join(roots, "fp", "left")
+    members = members.withColumn("root", F.coalesce("root", "fp"))
+    members = staged(members.withColumn("top", F.lit(None).cast("long")), "jaccard-members")
     for _ in range(HEADS):
         stars = staged(_likely(_stars(members, similarity), sets, similarity), "jaccard-stars")
-        near = _verified(stars, sets, similarity)
-        found = staged(near if found is None else found.union(near), "jaccard-links")
+        found = staged(found.union(_verified(stars, sets, similarity)), "jaccard-links")
         roots = contracted(found).withColumnRenamed("node", "fp")
         members = members.drop("root", "top").join(roots, "fp", "left")
         members = members.withColumn("root", F.coalesce("root", "fp"))

@@ -18,6 +18,11 @@ joined and verified; no key is dropped or capped, and copies meet as one fingerp
 Groups: links between distinct fingerprints are contracted by alternating large-star and
 small-star rounds; each round is a table in the shared folder, so lineage stays short.
 
+The pipeline's dedup asks for a Jaccard similarity of shingles of five words instead (`kept`).
+Its candidates are first those of this method, by fingerprints of five-word shingles: Golay keys,
+join, check of the bits. An exact check on the whole sets follows, and `jaccard` finds the
+similar texts that fingerprints miss.
+
 Defined results: a null or empty text has fingerprint 0 and links like any other; rows that
 repeat are kept and share a group; the id of a group is its smallest id, null if all its
 ids are null.
@@ -29,7 +34,6 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
@@ -38,7 +42,7 @@ from meetlake.llm import jaccard
 from meetlake.llm.common import free_name
 from meetlake.session import staged
 
-SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 3
+SHINGLE_WORDS, MAX_BITS = 3, 3
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Generator polynomial of the binary Golay code, x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GOLAY = 0b110001110101
@@ -49,20 +53,15 @@ _PLACES = (np.arange(8, dtype=np.uint16) * 256)[None, :]
 
 def fingerprint(text: str | None) -> int:
     """The 64-bit fingerprint of a whole text."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    n = len(words)
-    if not n:
+    return majority(jaccard.shingle_hashes(text, SHINGLE_WORDS))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that over half the hashes set; 0 without hashes."""
+    if not len(hashes):
         return 0
-    if n < SHINGLE_WORDS:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
-    else:
-        flat, ends = memoryview(b" ".join(words)), np.cumsum([len(w) + 1 for w in words])
-        stops = (ends[SHINGLE_WORDS - 1 :] - 1).tolist()
-        starts = [0, *ends[: n - SHINGLE_WORDS].tolist()]
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(flat[a:b], SEED) for a, b in zip(starts, stops)]
     # counts of set bits from a histogram of the byte values at each of the eight places
-    seen = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8) + _PLACES
+    seen = hashes.astype("<u8").view(np.uint8).reshape(-1, 8) + _PLACES
     ones = np.bincount(seen.ravel(), minlength=2048).reshape(8, 256) @ _BYTE_BITS
     return int(np.packbits(ones.ravel() * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
@@ -143,6 +142,21 @@ def links(fps: DataFrame) -> DataFrame:
     return a.join(b, "key").filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
 
 
+def candidates(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts whose fingerprints link; `nodes` has fp, a text's id, and `simhash`.
+
+    Texts of one fingerprint meet the first of them, and the first ones of linked fingerprints
+    meet each other.
+    """
+    firsts = staged(nodes.groupBy("simhash").agg(F.min("fp").alias("first")), "fingerprints")
+    same = nodes.join(firsts, "simhash").filter("fp != first")
+    near = links(firsts.select(F.col("simhash").alias("fp")))
+    a = firsts.select(F.col("simhash").alias("a"), F.col("first").alias("x"))
+    b = firsts.select(F.col("simhash").alias("b"), F.col("first").alias("y"))
+    near = near.join(a, "a").join(b, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    return near.union(same.select(F.col("first").alias("a"), F.col("fp").alias("b")))
+
+
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
@@ -204,7 +218,8 @@ def kept(
     """One row of each group, with all its columns: that of the group's smallest id.
 
     With a `similarity` links are those of the texts' sets of shingles of `words` words, at that
-    Jaccard similarity or more, instead of those of fingerprints. A null id never wins over an
+    Jaccard similarity or more: those that fingerprints of such shingles find, each checked on
+    the sets, and those they miss. A null id never wins over an
     id; of several rows with the winning id (repeated rows) the one of smallest text hash stays.
     """
     if similarity is None and words != SHINGLE_WORDS:
@@ -213,7 +228,7 @@ def kept(
     if similarity is None:
         marked = docs.withColumn(fp, F.struct(fingerprints(text).alias("fp")))
     else:
-        marked = docs.withColumn(fp, jaccard.signatures(text, words))
+        marked = docs.withColumn(fp, jaccard.signatures(text, words, majority))
     marked = staged(marked.withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
     rows = marked.select(
         F.col(doc_id).alias("doc_id"),
@@ -225,7 +240,8 @@ def kept(
     if similarity is not None:
         firsts = rows.groupBy("fp").agg(F.min("row").alias(row)).select(row)
         nodes = marked.join(firsts, row, "left_semi").select(f"{fp}.*", F.col(text).alias("text"))
-        edges = jaccard.links(nodes, words, similarity, groups_of_links)
+        met = staged(candidates(nodes.select("fp", "simhash")), "simhash-pairs")
+        edges = jaccard.links(nodes, words, similarity, groups_of_links, met)
     turns = rows.join(_groups(rows, edges).select("fp", "root"), "fp").groupBy("root")
     winners = turns.agg(F.min_by("row", "turn").alias(row)).select(row)
     return marked.join(winners, row, "left_semi").select(*docs.columns)

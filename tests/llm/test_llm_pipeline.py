@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from meetlake.llm import jaccard, mixing, quality, toxicity
+from meetlake.llm import jaccard, mixing, quality, simhash, toxicity
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -162,6 +162,68 @@ def test_copies_that_differ_too_much_meet_nobody(spark):
     assert pairs[0] <= 150 and pairs[1] <= 600
 
 
+def _long_near_copies():
+    """Texts of 1500 words with no edit, one or two edits, and others of the same length."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(6):
+        base = [f"w{rng.randrange(900)}" for _ in range(1500)]
+        texts += [base, *[_edited(rng, base, n, lambda: "changed") for n in (1, 1, 2, 2)]]
+        texts.append(base[:750] + [f"v{rng.randrange(900)}" for _ in range(750)])
+    return [(i, " ".join(t)) for i, t in enumerate(texts)] + [(90, "a b"), (91, None), (92, "A b")]
+
+
+def _bits(text):
+    return simhash.majority(jaccard.shingle_hashes(text, 5))
+
+
+def test_fingerprints_of_five_words_give_the_first_candidates(spark):
+    rows = _long_near_copies()
+    signed = [(i, _bits(t)) for i, t in rows]
+    nodes = [(i, f - 2**64 if f >= 2**63 else f) for i, f in signed]
+    met = simhash.candidates(spark.createDataFrame(nodes, "fp long, simhash long")).collect()
+    bits = dict(signed)
+    assert all((bits[p["a"]] ^ bits[p["b"]]).bit_count() <= 3 for p in met)
+    near = [(a, b) for a in bits for b in bits if a < b and (bits[a] ^ bits[b]).bit_count() <= 3]
+    assert _joined(bits, near) == _joined(bits, [(p["a"], p["b"]) for p in met])
+    assert any(bits[a] != bits[b] for a, b in near) and any(bits[a] == bits[b] for a, b in near)
+
+
+def _joined(ids, pairs):
+    root = {i: {i} for i in ids}
+    for a, b in pairs:
+        if root[a] is not root[b]:
+            root[a] |= root[b]
+            for i in root[b]:
+                root[i] = root[a]
+    return {frozenset(g) for g in root.values()}
+
+
+def test_links_start_from_fingerprints_and_are_checked_on_the_sets(spark):
+    """Without a shared MinHash key a pair of near fingerprints still links, if its sets agree."""
+    rows = [(i, t) for i, t in _long_near_copies()[:6]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = docs.select("doc_id", "text", jaccard.signatures("text", 5, simhash.majority).alias("s"))
+    nodes = signed.select("s.*", "text", "doc_id").withColumn("bands", F.array().cast("array<long>"))
+    ids = {r["fp"]: r["doc_id"] for r in nodes.select("fp", "doc_id").collect()}
+    fps = {i: fp for fp, i in ids.items()}
+    met = [(fps[0], fps[i]) for i in range(1, 6)]
+    met = spark.createDataFrame(met, "a long, b long")
+    got = jaccard.links(nodes, 5, 0.8, simhash.groups_of_links, met).collect()
+    assert {(ids[p["a"]], ids[p["b"]]) for p in got} == {(0, i) for i in range(1, 5)}
+
+
+def test_dedup_stage_runs_the_fingerprint_join(spark, monkeypatch):
+    seen, links = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda fps: seen.append(fps) or links(fps))
+    rows = _long_near_copies()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dict(corpus_pipeline.STAGES)["dedup"](spark, docs, SF_DIR)
+    assert {r["doc_id"] for r in got.collect()} == _firsts_of_groups(rows)
+    (fps,) = seen
+    assert {r["fp"] & 2**64 - 1 for r in fps.collect()} == {_bits(t) for _, t in rows}
+
+
 def test_run_gives_the_last_stage(spark):
     assert corpus_pipeline.run(spark, SF_DIR).columns == [
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
