@@ -106,7 +106,7 @@ def registrations_from_events(spark, sf):
         F.lit(0).alias("seed"),
     )
     merged = event_athletes.merge_registrations(
-        staged(_flat(spark, sf), "flat"),
+        _flat(spark, sf),
         _stored_athletes(spark, sf),
         stamped(stored),
         F.lit("2026-01-01").cast("timestamp"),

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import json
-from datetime import timedelta
+from datetime import date, timedelta
 
 import pytest
 from golden import BASE, EVENTS, LD, T0, capture, captures, event_page, group, listing
@@ -9,9 +9,11 @@ from golden import participants as payload
 from golden import registration
 from pyspark.sql import functions as F
 
-from meetlake import Site
+from meetlake import Site, session
+from meetlake.checks import payloads as checks
+from meetlake.operators import keyed, lookup
 from meetlake.operators.tally import page_tallies, profile_tally
-from meetlake.plans import event_athletes, event_details, listings
+from meetlake.plans import event_athletes, event_details, listings, stamps
 from meetlake.sources import payloads
 
 SITE = Site()
@@ -303,3 +305,24 @@ def test_one_wrong_element_refuses_its_script_only(spark):
     rows = spark.createDataFrame([(body,)], "body string")
     found = rows.select(payloads.linked_event(F.col("body")).alias("v"))
     assert found.select(F.expr("v:name::string").alias("n")).first().n == "Second"
+
+
+def test_registrations_write_what_they_keep_and_no_more(spark, tmp_path, monkeypatch):
+    orders = [(1, 0, "O", 10.5, "1-URGENT", date(1995, 1, 1))]
+    names = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    names += "o_orderpriority string, o_orderdate date"
+    spark.createDataFrame(orders, names).write.parquet(f"{tmp_path}/orders.parquet")
+    customers = [(0, "a", 1, "LAND", 1.0)]
+    names = "c_custkey long, c_name string, c_nationkey long, c_mktsegment string, c_acctbal double"
+    spark.createDataFrame(customers, names).write.parquet(f"{tmp_path}/customer.parquet")
+    seen, kept = {}, session.staged
+    for module in (checks, event_athletes, lookup, stamps, keyed):
+        monkeypatch.setattr(
+            module, "staged", lambda rows, of: (seen.update({of: rows.columns}), kept(rows, of))[1]
+        )
+    rows = checks.registrations_from_events(spark, str(tmp_path)).collect()
+    got = {(r["stored_id"], r["athlete_id"], r["division"], r["event_name"], r["actual_weight"]) for r in rows}
+    assert got == {(1, 1, "Men", "Event 1", 10.5), (None, 1, "", "Event 1", 10.5)} and len(rows) == 2
+    # the flat rows are not written, and what is read back for the look-up is not written again
+    assert set(seen) == {"latest", "batch", "new-keys"}
+    assert set(seen["latest"]) == {*event_athletes.OUTER_KEY, "event_name", "actual_weight", "seed", "ranking"}
