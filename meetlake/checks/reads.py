@@ -52,8 +52,10 @@ def athletes_after_row(spark, sf):
     """SRT-1 by seeking: the hundred athletes after the 700th, given that row."""
     athletes, _ = _athletes(spark, sf)
     by = ["-total_wins", "id"]
-    last = reads.deep_slice(athletes, by, 699, 1).first().asDict()
-    return reads.rows_after(athletes, by, last, 100).select(*_ATHLETE)
+    last = reads.deep_slice(athletes, by, 699, 1).first()
+    if last is None:  # fewer than 700: none are after it
+        return athletes.select(*_ATHLETE).limit(0)
+    return reads.rows_after(athletes, by, last.asDict(), 100).select(*_ATHLETE)
 
 
 def athletes_with_academy(spark, sf):
