@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
+import os
+import threading
+
 import pandas as pd
 import pytest
 from golden import (
@@ -14,12 +17,13 @@ from pyspark.sql import functions as F
 import json
 import random
 
-from meetlake import Site
+from meetlake import Site, session
 from meetlake.operators import reads, runs
-from meetlake.plans import event_athletes, event_details
+from meetlake.plans import event_athletes, event_details, listings, profiles, stamps
 from meetlake.plans.ingest import ingest
+from meetlake.sources import payloads
 from meetlake.sources.schemas import ENTITY_TABLES
-from meetlake.sources.store import Store
+from meetlake.sources.store import APPENDED, Store
 from meetlake.streaming import jobs
 
 SITE = Site()
@@ -483,3 +487,76 @@ def test_batch_counters_decodes_valid_and_saved_rows_once(spark, tmp_path):
     assert plan.count("from_json(") == 1
     one = found.filter("event_id = '1'").first()
     assert (one["groups"], one["registrations"], one["valid"], one["saved"]) == (2, 3, 3, 2)
+
+
+def test_kinds_of_a_batch_are_decoded_at_once_and_tables_merged_at_once(spark, tmp_path, monkeypatch):
+    """Each step waits until the others of its kind have begun."""
+    decoding, merging = threading.Barrier(3), threading.Barrier(2)
+
+    def met(module, name, barrier):
+        real = getattr(module, name)
+
+        def step(*args):
+            barrier.wait(timeout=30)
+            return real(*args)
+
+        monkeypatch.setattr(module, name, step)
+
+    met(payloads, "decode_participants", decoding)
+    met(profiles, "profile_pages", decoding)
+    met(listings, "listed_events", decoding)
+    met(listings, "rows_of", merging)
+    met(event_details, "details_of", merging)
+    staged, real = [], stamps.staged
+    monkeypatch.setattr(stamps, "staged", lambda rows, of: (staged.append(of), real(rows, of))[1])
+    store = Store(spark, str(tmp_path / "store"), buckets=2)
+    assert ingest(store, first_batch(spark), SITE, "one", NOW)
+    # rows a batch has written are merged from there; those of athletes are first cut down
+    assert staged == ["batch"]
+    assert {t: store.read(t).count() for t in ("events", "athletes")} == {"events": 2, "athletes": 2}
+
+
+def test_a_step_that_fails_fails_the_others(spark):
+    def lost():
+        raise ValueError("lost")
+
+    assert session.at_once(spark, lambda: 1, lambda: spark.range(3).count()) == [1, 3]
+    with pytest.raises(ValueError, match="lost"):
+        session.at_once(spark, lambda: 1, lost)
+
+
+def test_a_batch_leaves_no_frames_behind(spark, tmp_path, monkeypatch):
+    folders = []
+
+    def folder(spark, purpose):
+        folders.append(str(tmp_path / f"{purpose}-{len(folders)}"))
+        return folders[-1]
+
+    monkeypatch.setattr(session, "shared_folder", folder)
+    asked = []
+    monkeypatch.setattr(payloads, "quarantine", lambda rows, f=payloads.quarantine: (asked.append(rows), f(rows))[1])
+    store = Store(spark, str(tmp_path / "store"), buckets=2)
+    before = spark.conf.get(session._CLEANUP)
+    for i, late in enumerate((T0, T0 + timedelta(days=1))):
+        rows = first_batch(spark).withColumn("fetched_at", F.lit(late))
+        assert ingest(store, rows, SITE, f"b{i}", NOW + timedelta(days=i))
+    assert folders and not [f for f in folders if os.path.exists(f)]
+    assert spark.conf.get(session._CLEANUP) == before
+    kept = {name for batch in store._batches() for name in store._names(batch)}
+    assert kept <= {*ENTITY_TABLES, *APPENDED} and "athletes" in kept
+    # registrations and refused payloads come from one pass over the bodies, written once
+    assert "_read" not in kept and "_registrations" in store._names()
+    refused = store.read("quarantine").filter("kind = 'participants'")
+    assert [r["url"] for r in refused.collect()] == [URL + "?bad"] * 2
+    owners = spark.createDataFrame([("0",), ("1",), ("2",)], "external_id string")
+    parts = store.parts("_registrations", asked[0].withColumn("_owner", F.lit(0)).schema, owners)
+    assert parts.count() == 8 and parts.filter("fault IS NOT NULL").count() == 0
+
+
+def test_a_batch_read_by_enough_tasks_is_not_dealt_again(spark, tmp_path):
+    pages = [capture("event_list", f"{BASE}/en/events/past?p={i}", "x") for i in range(40)]
+    rows = captures(spark, *pages).coalesce(1)
+    batch = Store(spark, str(tmp_path / "store")).begin("a")
+    got, seen = batch.by_kind(rows, ("event_list",), deal=False)
+    assert seen == {"n": 40, "event_list": 40} and len(got.inputFiles()) == 1
+    assert sorted(got.collect()) == sorted(rows.collect())
